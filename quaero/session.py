@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_folders: list[str] = []
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "quaero", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,6 +36,21 @@ def build_session(app_name: str = "quaero", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session.
+
+    Idempotent per context: the source tree is zipped once and added as a file.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="quaero-package-"), "quaero")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(root), os.path.basename(root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
