@@ -32,7 +32,7 @@ from quaero.session import materialize
 
 DEFAULT_K = 4
 SCORE_DIGITS = 10  # ranks compare scores at this precision, then ids
-BLOCK_ROWS = 4096  # corpus vectors a task scores at a time
+BLOCK_ROWS = 4096  # corpus vectors in one block of a cell
 QUESTION_BLOCK_ROWS = 8192  # questions that meet one corpus block
 SLICE_ROWS = 512  # questions per matrix product inside a task
 MAX_PIVOTS = 1024
@@ -59,6 +59,8 @@ class Metric:
         """
         extra = 2 if self.name == "cosine" else 0
         matrix = np.zeros((len(rows), dims + extra))
+        if len(rows) and rows.map(len).max() > dims:
+            raise ValueError(f"a vector is longer than the {dims} dimensions given")
         if len(rows) and (rows.map(len) == dims).all():
             matrix[:, :dims] = np.stack(rows.to_list())
         else:
@@ -91,14 +93,20 @@ def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares - 2.0 * rows @ pivots.T, 0.0))
 
 
+def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k cheapest hits of each question, ties by lower id."""
+    found = found.sort_values(["question_id", "cost", "corpus_id"], kind="stable")
+    return found[found.groupby("question_id").cumcount() < k]
+
+
 def _block_topk(
     metric: Metric, k: int, corpus_ids: np.ndarray, corpus: np.ndarray,
     question_ids: np.ndarray, questions: np.ndarray, skip_same_id: bool,
 ) -> pd.DataFrame:
-    """The k best corpus rows of this block for each question, ties by lower id."""
+    """The k best corpus rows of this block for each question, by ``cost``: lower is better."""
     sign = 1.0 if metric.ascending else -1.0
-    parts = []
-    for start in range(0, len(question_ids), SLICE_ROWS):
+    parts = [pd.DataFrame({"question_id": question_ids[:0], "corpus_id": corpus_ids[:0], "cost": []})]
+    for start in range(0, len(question_ids) if len(corpus_ids) else 0, SLICE_ROWS):
         ids = question_ids[start : start + SLICE_ROWS]
         part = questions[start : start + SLICE_ROWS]
         cost = sign * np.round(metric.scores(part, corpus), SCORE_DIGITS) + 0.0
@@ -110,10 +118,13 @@ def _block_topk(
         found = pd.DataFrame(
             {"question_id": ids[asks], "corpus_id": corpus_ids[rows], "cost": cost[asks, rows]}
         )
-        found = found.sort_values(["question_id", "cost", "corpus_id"], kind="stable")
-        found = found[found.groupby("question_id").cumcount() < k]
-        parts.append(found.assign(score=sign * found["cost"] + 0.0)[list(_HIT_COLUMNS)])
-    return pd.concat(parts) if parts else pd.DataFrame(columns=list(_HIT_COLUMNS))
+        parts.append(_best(found, k))
+    return pd.concat(parts[1:] or parts)
+
+
+def _as_hits(found: pd.DataFrame, metric: Metric) -> pd.DataFrame:
+    sign = 1.0 if metric.ascending else -1.0
+    return found.assign(score=sign * found["cost"].astype(float) + 0.0)[list(_HIT_COLUMNS)]
 
 
 _HIT_COLUMNS = ("question_id", "corpus_id", "score")
@@ -130,15 +141,11 @@ def _hit_schema(id_type: T.DataType, corpus_id_type: T.DataType) -> T.StructType
 
 
 def _side(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    return df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")).where(
-        F.col("vector").isNotNull()
-    )
+    return df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
 
 
-def _measure(df: DataFrame) -> tuple[int, int]:
-    """Rows and the longest vector."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dims")).first()
-    return row["n"], row["dims"] or 0
+def _longest(df: DataFrame) -> int:
+    return df.agg(F.max(F.size("vector"))).first()[0] or 0
 
 
 def _rank(hits: DataFrame, k: int, metric: Metric) -> DataFrame:
@@ -159,28 +166,30 @@ def topk(
     corpus_vector: str = "embedding",
     where: Column | None = None,
     skip_same_id: bool = False,
+    dims: int | None = None,
     route: str | None = None,
 ) -> DataFrame:
     """Exact k nearest corpus rows of every question: ``(question_id, corpus_id, score, rank)``.
 
-    ``where`` restricts the corpus before anything is scored. ``route`` forces
-    ``"scan"`` or ``"cells"``; by default the checked sizes decide.
+    ``where`` restricts the corpus before anything is scored. ``dims`` is the
+    longest vector on either side; giving it spares a scan of both tables.
+    ``route`` forces ``"scan"`` or ``"cells"``; by default the checked sizes decide.
     """
     kind = METRICS[metric]
     if where is not None:
         corpus = corpus.where(where)
     asked = _side(questions, question_id, question_vector)
     stored = _side(corpus, corpus_id, corpus_vector)
-    n_asked, asked_dims = _measure(asked)
-    n_stored, stored_dims = _measure(stored)
-    dims = max(asked_dims, stored_dims)
+    n_asked, n_stored = questions.count(), corpus.count()
+    dims = dims or max(_longest(asked), _longest(stored))
+    asked, stored = (side.where(F.col("vector").isNotNull()) for side in (asked, stored))
     schema = _hit_schema(questions.schema[question_id].dataType, corpus.schema[corpus_id].dataType)
-    if not n_asked or not n_stored:
+    if not (n_asked and n_stored and dims):
         empty = questions.sparkSession.createDataFrame([], schema)
         return empty.withColumn("rank", F.lit(1))
     if route is None:
         small = n_asked * (dims + 2) * 8 <= MAX_BROADCAST_BYTES
-        few_hits = n_asked * k * max(1, n_stored // BLOCK_ROWS) <= MAX_SCAN_ROWS
+        few_hits = n_asked * k * stored.rdd.getNumPartitions() <= MAX_SCAN_ROWS
         route = "scan" if small and few_hits else "cells"
     if route == "scan":
         hits = _scan(asked, stored, k, kind, dims, schema, skip_same_id)
@@ -201,12 +210,16 @@ def _scan(
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, matrix = shared.value
+        best = None
         for batch in batches:
             if len(batch):
                 rows = metric.prepare(batch["vector"], dims, CORPUS)
-                yield _block_topk(
+                found = _block_topk(
                     metric, k, batch["id"].to_numpy(), rows, ids, matrix, skip_same_id
                 )
+                best = found if best is None else _best(pd.concat([best, found]), k)
+        if best is not None:
+            yield _as_hits(best, metric)
 
     return stored.mapInPandas(score, schema)
 
@@ -355,14 +368,13 @@ def _visit_cells(
     )
 
     def score(corpus: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
-        if not len(corpus) or not len(questions):
-            return pd.DataFrame(columns=list(_HIT_COLUMNS))
-        return _block_topk(
+        found = _block_topk(
             metric, k,
             corpus["id"].to_numpy(), metric.prepare(corpus["vector"], dims, CORPUS),
             questions["id"].to_numpy(), metric.prepare(questions["vector"], dims, QUESTION),
             skip_same_id,
         )
+        return _as_hits(found, metric)
 
     keys = ("cell", "block", "question_block")
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, schema)
@@ -380,6 +392,7 @@ def topk_approx(
     corpus_id: str = "corpus_id",
     corpus_vector: str = "embedding",
     skip_same_id: bool = False,
+    dims: int | None = None,
 ) -> DataFrame:
     """Approximate neighbours: each question visits only its ``probes`` nearest cells.
 
@@ -391,7 +404,8 @@ def topk_approx(
     kind = METRICS[metric]
     asked = _side(questions, question_id, question_vector)
     stored = _side(corpus, corpus_id, corpus_vector)
-    dims = max(_measure(asked)[1], _measure(stored)[1])
+    dims = dims or max(_longest(asked), _longest(stored))
+    asked, stored = (side.where(F.col("vector").isNotNull()) for side in (asked, stored))
     schema = _hit_schema(questions.schema[question_id].dataType, corpus.schema[corpus_id].dataType)
     centres = choose_pivots(stored, pivots, kind, dims)
     placed = materialize(_with_cell(stored, centres, kind, dims), "cells")

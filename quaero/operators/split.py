@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quaero.session import materialize
+
 ROWS_PER_BUCKET = 100_000
 FOLDS = 10
 TRAIN_ROWS = 200_000
@@ -67,6 +69,7 @@ def stratified_folds(
     ).drop("rank", "stratum_size")
     if not rebalance:
         return folded
+    folded = materialize(folded, "folds")
     # k rows: the size of each fold and its lowest row in a second hash order
     pick = F.struct(hash_order(F.col(id_col), f"{seed}-move"), F.col(id_col))
     summary = folded.groupBy("fold").agg(

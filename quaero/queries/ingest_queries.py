@@ -169,14 +169,14 @@ def collection_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mask, chunk, embed, store and reopen the whole document table."""
     path = scratch(spark, "collection")
     return store.open_or_build(
-        spark, path, lambda: build_collection(spread(named_documents(spark, sf_dir)))
+        spark, path, lambda: build_collection(store.lay_out(named_documents(spark, sf_dir)))
     )
 
 
 def collection_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source out of a stored collection that was reset once."""
     path = scratch(spark, "lookup")
-    docs = table(spark, sf_dir, "documents").select(
+    docs = store.lay_out(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "source", tx.mask_pii(F.col("text")).alias("page_content")
     )
     store.write_collection(docs.limit(0), path)

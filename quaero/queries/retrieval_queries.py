@@ -13,11 +13,13 @@ from quaero.operators import knn
 from quaero.operators.screening import REFUSAL_MESSAGE
 from quaero.plans.answer import answer_batch, check_answers
 from quaero.queries.common import (
-    SQL_ANSWERS, SQL_QUESTIONS, SQL_REPLIES, answers, document_collection, quote, replies, spread,
-    sql_graded, sql_hits, sql_strip, sql_tokens, sql_vectors, table, user_questions,
+    SQL_ANSWERS, SQL_QUESTIONS, SQL_REPLIES, answers, document_collection, quote, replies, scratch, spread,
+    sql_graded, sql_hits, sql_strip, sql_vectors, table, user_questions,
 )
 from quaero.queries.text_queries import _sql_screen
 from quaero.session import materialize
+from quaero.sources.collection import append_audit
+from quaero.streaming.feed import audit_rows
 
 
 def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +189,7 @@ def _hits(questions: DataFrame, collection: DataFrame) -> DataFrame:
     asked = materialize(
         questions.select("question_id", hash_embed(F.col("question")).alias("embedding")), "asked"
     )
-    return knn.topk(asked, collection, metric="cosine")
+    return knn.topk(asked, collection, metric="cosine", dims=DEFAULT_DIMS)
 
 
 def _retrieved(questions: DataFrame, collection: DataFrame) -> DataFrame:
@@ -343,6 +345,28 @@ SELECT question_id, hallucination_check, {_SQL_STATUS} AS status, sources
 FROM verdicts JOIN blocks USING (question_id)"""
 
 
+def flow_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents loaded, retrieved for all questions, and kept by grading."""
+    collection = document_collection(spark, sf_dir)
+    asked = user_questions(spark, sf_dir).select("question_id", "question")
+    graded = docs.grade_documents(_retrieved(asked, collection))
+    totals = graded.agg(F.sum("retrieved").alias("retrieved"), F.sum("kept").alias("kept")).select(
+        F.inline(F.array(
+            F.struct(F.lit("retrieved").alias("counter"), F.col("retrieved").alias("n")),
+            F.struct(F.lit("kept").alias("counter"), F.col("kept").alias("n")),
+        ))
+    )
+    return totals.unionByName(
+        collection.agg(F.count(F.lit(1)).alias("n")).select(F.lit("documents").alias("counter"), "n")
+    )
+
+
+SQL_COUNTERS = f"""
+WITH {SQL_QUESTIONS}, {sql_hits('hits', 'questions')}, {sql_graded('graded', 'hits', 'questions')}
+SELECT 'documents' AS counter, count(*) AS n FROM documents
+UNION ALL SELECT 'retrieved', count(*) FROM hits UNION ALL SELECT 'kept', count(*) FROM graded"""
+
+
 def status_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = check_answers(_answered(spark, sf_dir))
     return checked.groupBy("hallucination_check", "status").agg(F.count(F.lit(1)).alias("answers"))
@@ -380,6 +404,28 @@ SELECT id AS question_id, is_safe, reason,
   CASE WHEN is_safe THEN sources END AS sources
 FROM screened LEFT JOIN verdicts v ON v.question_id = id LEFT JOIN blocks b ON b.question_id = id"""
 
+
+
+def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers appended to the audit log with their sources, then counted from it."""
+    path = scratch(spark, "audit")
+    result = answer_batch(
+        user_questions(spark, sf_dir).select("question_id", "question"),
+        document_collection(spark, sf_dir), answers(spark, sf_dir), replies(spark, sf_dir),
+    )
+    append_audit(audit_rows(result), path)
+    logged = spark.read.parquet(path)
+    return logged.groupBy(F.coalesce("hallucination_check", F.lit("rejected")).alias("verdict")).agg(
+        F.count(F.lit(1)).alias("answers"),
+        F.sum(F.coalesce(F.size("sources"), F.lit(0))).alias("sources"),
+    )
+
+
+SQL_AUDIT = f"""
+SELECT coalesce(hallucination_check, 'rejected') AS verdict, count(*) AS answers,
+       sum(coalesce(len(string_split(sources, '|')), 0))::BIGINT AS sources
+FROM ({SQL_ANSWER}) GROUP BY 1"""
+
 QUERIES = {
     "hash_embed": (embed_documents, SQL_EMBED),
     "topk_cosine": (topk_cosine, SQL_COSINE),
@@ -398,5 +444,7 @@ QUERIES = {
     "keyword_grounding": (keyword_grounding, SQL_KEYWORD),
     "grounding_verdict": (grounding_verdict, SQL_VERDICT),
     "status_labels": (status_labels, SQL_STATUS),
+    "flow_counters": (flow_counters, SQL_COUNTERS),
     "answer_batch": (answer_all, SQL_ANSWER),
+    "audit_log": (audit_log, SQL_AUDIT),
 }

@@ -18,19 +18,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def _laid_out(df: DataFrame) -> DataFrame:
-    """Sorted by source, so lookups skip files and row groups by their min and max.
+def lay_out(df: DataFrame) -> DataFrame:
+    """Sort by source, so lookups skip files and row groups by their min and max.
 
-    The chunk number takes part in the ranges: a source with a third of all rows
-    is spread over many of them.
+    The ids take part in the ranges: a source with a third of all rows is spread
+    over many of them. Finding the ranges runs the input once more, so lay out
+    documents *before* they are chunked and embedded; row-wise steps keep the order.
     """
-    keys = [c for c in ("source", "original_id", "chunk_no") if c in df.columns]
+    keys = [c for c in ("source", "original_id", "corpus_id", "chunk_no") if c in df.columns]
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
 
 
 def write_collection(df: DataFrame, path: str) -> None:
     """Store a new collection; fails if there is one already."""
-    _laid_out(df).write.mode("errorifexists").parquet(f"{path}/version=1")
+    df.write.mode("errorifexists").parquet(f"{path}/version=1")
     _point_to(df.sparkSession, path, 1)
 
 
@@ -59,7 +60,7 @@ def reset_collection(df: DataFrame, path: str) -> DataFrame:
     """
     spark = df.sparkSession
     version = (_pointer(spark, path) or 0) + 1
-    _laid_out(df).write.mode("overwrite").parquet(f"{path}/version={version}")
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
     _point_to(spark, path, version)
     return open_collection(spark, path)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,17 +43,20 @@ def replay_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat([b[[key, order_id, "_t"]] for b in batches]).sort_values(["_t", order_id])
+        parts = [(b["_t"].to_numpy(), b[order_id].to_numpy()) for b in batches]
+        times, ids = (np.concatenate(column) for column in zip(*parts))
+        order = np.lexsort((ids, times))
+        times, ids = times[order], ids[order]
         expires = state.get[0] if state.exists else None
         hits = []
-        for t in rows["_t"].tolist():
+        for t in times.tolist():
             hit = expires is not None and t < expires
             if not hit:
                 expires = t + ttl
             hits.append(hit)
         state.update((expires,))
         state.setTimeoutTimestamp(max(expires // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield rows.assign(hit=hits)
+        yield pd.DataFrame({key: group[0], order_id: ids, "_t": times, "hit": hits})
 
     return (
         timed.groupBy(key)
