@@ -33,7 +33,9 @@ def build_session(app_name: str = "quaero", master: str | None = None, **conf: s
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def ship_package(spark: SparkSession) -> None:

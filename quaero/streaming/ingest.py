@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quaero.plans.ingest import build_collection
+from quaero.sources.collection import lay_out
 
 
 def ingest_batch(documents: DataFrame, root: str, batch_id: int, **options) -> None:
@@ -15,7 +16,7 @@ def ingest_batch(documents: DataFrame, root: str, batch_id: int, **options) -> N
     Nothing stored earlier is rewritten: a changed source simply appears again
     with a higher batch number.
     """
-    build_collection(documents, **options).write.mode("overwrite").parquet(
+    build_collection(lay_out(documents), **options).write.mode("overwrite").parquet(
         f"{root}/chunks/batch_id={batch_id}"
     )
     documents.select("source").distinct().write.mode("overwrite").parquet(
