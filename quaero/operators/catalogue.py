@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 def corpus_catalogue(
     df: DataFrame, groups: Sequence[str] = ("type", "focus"), text: str = "page_content"
 ) -> DataFrame:
-    """Documents and mean size per group, with subtotals; NULL groups mark the totals."""
-    return df.rollup(*groups).agg(
+    """Documents and mean size per group, with subtotals; NULL groups mark the totals.
+
+    Texts are measured first, since the rollup repeats its input once per level.
+    """
+    return df.select(*groups, F.char_length(text).alias("_chars")).rollup(*groups).agg(
         F.count(F.lit(1)).alias("documents"),
-        F.avg(F.char_length(text)).alias("mean_chars"),
+        F.avg("_chars").alias("mean_chars"),
         F.grouping_id().alias("level"),
     )
 

@@ -7,6 +7,7 @@ quality label with the number of a conversation is the relevance reply.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
@@ -14,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaero.functions.vectors import DEFAULT_DIMS, hash_embed
-from quaero.session import materialize, shared_folder
+from quaero.session import shared_folder
+from quaero.sources.collection import open_or_build
 
 TURNS_PER_CONVERSATION = 1000
 
@@ -70,9 +72,17 @@ def named_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole documents with their embedding, stored once and then searched."""
-    docs = spread(named_documents(spark, sf_dir))
-    return materialize(docs.withColumn("embedding", hash_embed(F.col("page_content"))), "collection")
+    """Whole documents with their embedding: built once per application, then reopened."""
+
+    def build() -> DataFrame:
+        docs = spread(named_documents(spark, sf_dir))
+        return docs.withColumn("embedding", hash_embed(F.col("page_content")))
+
+    name = hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()
+    path = os.path.join(
+        shared_folder(spark), "quaero", f"collection-{spark.sparkContext.applicationId}-{name}"
+    )
+    return open_or_build(spark, path, build)
 
 
 # --- SQL fragments -------------------------------------------------------------------

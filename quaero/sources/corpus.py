@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaero.functions import text as tx
+from quaero.session import materialize
 
 QA_XML_SCHEMA = """
 _id STRING, _source STRING, _url STRING, Focus STRING,
@@ -68,7 +69,18 @@ def _read(spark: SparkSession, fmt: str, path: str, schema: str, glob: str, **op
         return spark.createDataFrame([], full)
 
 
-def _good_and_broken(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _read_xml(
+    spark: SparkSession, path: str, schema: str, row_tag: str, label: str
+) -> tuple[DataFrame, DataFrame]:
+    """Parse XML once into a table; return its good rows and the broken files.
+
+    Surrounding white space belongs to a text and is kept.
+    """
+    raw = _read(
+        spark, "xml", path, schema, "*.xml", rowTag=row_tag, mode="PERMISSIVE",
+        columnNameOfCorruptRecord="_corrupt_record", ignoreSurroundingSpaces=False,
+    )
+    df = materialize(raw, label)
     broken = F.col("_corrupt_record").isNotNull()
     return (
         df.where(~broken).drop("_corrupt_record"),
@@ -78,11 +90,7 @@ def _good_and_broken(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_qa_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """One row per QA file, and the quarantine of files that do not parse."""
-    raw = _read(
-        spark, "xml", path, QA_XML_SCHEMA, "*.xml",
-        rowTag="Document", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record",
-    )
-    return _good_and_broken(raw)
+    return _read_xml(spark, path, QA_XML_SCHEMA, "Document", "qa-xml")
 
 
 def explode_qa(files: DataFrame) -> DataFrame:
@@ -122,11 +130,7 @@ def qa_documents(pairs: DataFrame) -> DataFrame:
 
 def read_protocol_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """One row per section of a protocol file, and the quarantine."""
-    raw = _read(
-        spark, "xml", path, PROTOCOL_XML_SCHEMA, "*.xml",
-        rowTag="Protocol", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record",
-    )
-    good, broken = _good_and_broken(raw)
+    good, broken = _read_xml(spark, path, PROTOCOL_XML_SCHEMA, "Protocol", "protocol-xml")
     sections = good.select(
         "source", "modified_at", "Metadata.*", F.posexplode("Content.Section").alias("section_no", "section")
     )

@@ -33,6 +33,8 @@ def rows(columns, data):
 def test_query(spark, duck, sf_dir, name):
     result = QUERIES[name](spark, sf_dir)
     got = result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name not in SQL:
         assert got
         return
