@@ -114,7 +114,7 @@ def abstract_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("answer").alias("LONG_ANSWER"),
     )
     value = F.to_json(F.create_map(F.col("question_id").cast("string"), record))
-    keyed, _ = src.explode_keyed(_pairs(spark, sf_dir).select(value.alias("value"), F.col("url").alias("source")))
+    keyed, _ = src.explode_keyed(_pairs(spark, sf_dir).select(value.alias("value"), F.col("url").alias("path"), F.col("url").alias("source")))
     documents = src.abstract_documents(src.abstract_records(keyed))
     return documents.select(F.col("pubmed_id").cast("bigint").alias("question_id"), "source", "page_content")
 

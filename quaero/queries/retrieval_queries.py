@@ -369,12 +369,19 @@ UNION ALL SELECT 'retrieved', count(*) FROM hits UNION ALL SELECT 'kept', count(
 
 def status_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = check_answers(_answered(spark, sf_dir))
-    return checked.groupBy("hallucination_check", "status").agg(F.count(F.lit(1)).alias("answers"))
+    icon = gr.status_icon(F.col("hallucination_check")).alias("icon")
+    return checked.groupBy("hallucination_check", icon, "status").agg(F.count(F.lit(1)).alias("answers"))
 
 
+_SQL_ICON = (
+    "CASE hallucination_check "
+    + " ".join(f"WHEN '{k}' THEN {quote(v)}" for k, v in gr.STATUS_ICONS.items())
+    + f" ELSE {quote(gr.OTHER_ICON)} END"
+)
 SQL_STATUS = f"""
 WITH {_SQL_ANSWERED}, {_SQL_VERDICT}
-SELECT hallucination_check, {_SQL_STATUS} AS status, count(*) AS answers FROM verdicts GROUP BY 1, 2"""
+SELECT hallucination_check, {_SQL_ICON} AS icon, {_SQL_STATUS} AS status, count(*) AS answers
+FROM verdicts GROUP BY 1, 2, 3"""
 
 
 def answer_all(spark: SparkSession, sf_dir: str) -> DataFrame:

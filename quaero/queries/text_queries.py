@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quaero.functions import language as lang
 from quaero.functions import text as tx
+from quaero.operators import queues as qs
 from quaero.operators import screening as sc
 from quaero.operators import translation as tr
 from quaero.queries.common import (
@@ -221,6 +222,49 @@ SELECT doc_id, language, target, direction,
        ELSE {sql_strip("'[' || direction || '] ' || r.text")} END AS translated
 FROM routed r LEFT JOIN finished f ON f.text = r.text"""
 
+
+
+def relevance_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions that still need a relevance reply."""
+    asked = sc.clean_questions(user_questions(spark, sf_dir))
+    return qs.relevance_queue(asked, replies(spark, sf_dir))
+
+
+SQL_RELEVANCE_QUEUE = f"""
+WITH {SQL_QUESTIONS}, {SQL_REPLIES},
+asked AS (SELECT DISTINCT {sql_strip('text')} AS text FROM questions)
+SELECT text AS question, {quote(qs.RELEVANCE_START)} || text || {quote(qs.RELEVANCE_END)} AS prompt FROM asked
+WHERE length(text) BETWEEN 5 AND 500 AND {_sql_first_pii()} IS NULL
+  AND lower(text) NOT IN ('sair', 'exit', 'quit', 'q') AND text NOT IN (SELECT question FROM replies)"""
+
+
+def translation_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a translation, where the labelled good ones have one."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    finished = docs.join(good, "doc_id", "left_semi").select(
+        tr.text_key(F.col("text")).alias("text_key"),
+        F.explode(F.array(F.lit("pt_en"), F.lit("en_pt"))).alias("direction"),
+    )
+    language = lang.identify_language(F.col("text"), F.col("lang"))
+    target = F.when(F.col("lang") == "en", "pt").otherwise("en")
+    return qs.translation_queue(docs, finished, "text", language, target)
+
+
+SQL_TRANSLATION_QUEUE = f"""
+WITH routed AS (
+  SELECT DISTINCT text,
+    CASE WHEN length(text) >= 2 AND language = 'pt' AND target = 'en' THEN 'pt_en'
+         WHEN length(text) >= 2 AND language = 'en' AND target = 'pt' THEN 'en_pt' END AS direction
+  FROM (SELECT text, {_SQL_LANGUAGE} AS language,
+               CASE WHEN lang = 'en' THEN 'pt' ELSE 'en' END AS target FROM documents))
+SELECT md5(text) AS text_key, direction,
+  CASE direction WHEN 'pt_en' THEN {quote(qs.TRANSLATION_START['pt_en'])} ELSE {quote(qs.TRANSLATION_START['en_pt'])} END
+  || text ||
+  CASE direction WHEN 'pt_en' THEN {quote(qs.TRANSLATION_END['pt_en'])} ELSE {quote(qs.TRANSLATION_END['en_pt'])} END AS prompt
+FROM routed WHERE direction IS NOT NULL
+  AND text NOT IN (SELECT text FROM documents JOIN labels USING (doc_id) WHERE quality = 1)"""
+
 QUERIES = {
     "question_cleanup": (question_cleanup, SQL_CLEANUP),
     "length_gate": (length_gate, SQL_LENGTH),
@@ -231,4 +275,6 @@ QUERIES = {
     "screen_summary": (screen_summary, SQL_SCREEN_SUMMARY),
     "language_id": (language_id, SQL_LANGUAGE),
     "translation_route": (translation_route, SQL_TRANSLATION),
+    "relevance_queue": (relevance_queue, SQL_RELEVANCE_QUEUE),
+    "translation_queue": (translation_queue, SQL_TRANSLATION_QUEUE),
 }

@@ -59,7 +59,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder, since there the
     driver and the executors are one process.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None)
+    configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):

@@ -25,7 +25,7 @@ def lay_out(df: DataFrame) -> DataFrame:
     over many of them. Finding the ranges runs the input once more, so lay out
     documents *before* they are chunked and embedded; row-wise steps keep the order.
     """
-    keys = [c for c in ("source", "original_id", "corpus_id", "chunk_no") if c in df.columns]
+    keys = [c for c in ("source", "doc_key", "corpus_id", "chunk_no") if c in df.columns]
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
 
 

@@ -46,20 +46,21 @@ PROTOCOL_TYPE = "protocol_xml"
 CORPUS_JSON_NAMES = ("pqal", "ground_truth")
 
 CORPUS_SCHEMA = """
-page_content STRING, source STRING, type STRING, focus STRING, original_id STRING,
+doc_key STRING, page_content STRING, source STRING, type STRING, focus STRING, original_id STRING,
 pubmed_id STRING, qid STRING, qtype STRING, semantic_group STRING, cuis ARRAY<STRING>
 """
 
 
 def _read(spark: SparkSession, fmt: str, path: str, schema: str, glob: str, **options) -> DataFrame:
     """Read a folder tree; a missing root reads as an empty table."""
-    full = T.StructType.fromDDL(schema).add("source", "string").add("modified_at", "timestamp")
+    full = T.StructType.fromDDL(schema).add("path", "string").add("source", "string").add("modified_at", "timestamp")
     reader = spark.read.format(fmt).schema(schema).options(
         recursiveFileLookup=True, pathGlobFilter=glob, **options
     )
     try:
         return reader.load(path).select(
             "*",
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_name").alias("source"),
             F.col("_metadata.file_modification_time").alias("modified_at"),
         )
@@ -99,15 +100,15 @@ def explode_qa(files: DataFrame) -> DataFrame:
     The pair's ids, question type and the file's annotations are kept as columns.
     """
     pair = files.select(
-        "source", "modified_at",
+        "path", "source", "modified_at",
         F.coalesce("Focus", F.lit(DEFAULT_FOCUS)).alias("focus"),
         F.coalesce("_url", F.lit(DEFAULT_URL)).alias("url"),
         F.col("FocusAnnotations.UMLS.SemanticGroup").alias("semantic_group"),
         F.col("FocusAnnotations.UMLS.CUIs.CUI").alias("cuis"),
-        F.explode("QAPairs.QAPair").alias("pair"),
+        F.posexplode("QAPairs.QAPair").alias("pair_no", "pair"),
     )
     return pair.select(
-        "source", "modified_at", "focus", "url", "semantic_group", "cuis",
+        "path", "source", "modified_at", "pair_no", "focus", "url", "semantic_group", "cuis",
         F.coalesce("pair._pid", F.lit(DEFAULT_PAIR_ID)).alias("original_id"),
         F.col("pair.Question._qid").alias("qid"),
         F.col("pair.Question._qtype").alias("qtype"),
@@ -116,9 +117,15 @@ def explode_qa(files: DataFrame) -> DataFrame:
     )
 
 
+def doc_key(path: str, part: str) -> Column:
+    """Unique name of one record: the file and its place in it."""
+    return F.concat_ws("#", path, F.col(part).cast("string")).alias("doc_key")
+
+
 def qa_documents(pairs: DataFrame) -> DataFrame:
     """Pairs as indexable documents."""
     return pairs.select(
+        doc_key("path", "pair_no"),
         tx.qa_text(
             F.col("focus"), F.col("question"),
             tx.answer_or_pointer(F.col("answer"), F.col("url")), F.col("url"),
@@ -132,11 +139,11 @@ def read_protocol_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     """One row per section of a protocol file, and the quarantine."""
     good, broken = _read_xml(spark, path, PROTOCOL_XML_SCHEMA, "Protocol", "protocol-xml")
     sections = good.select(
-        "source", "modified_at", "Metadata.*", F.posexplode("Content.Section").alias("section_no", "section")
+        "path", "source", "modified_at", "Metadata.*", F.posexplode("Content.Section").alias("section_no", "section")
     )
     return (
         sections.select(
-            "source", "modified_at", F.col("ID").alias("protocol_id"), F.col("Title").alias("title"),
+            "path", "source", "modified_at", F.col("ID").alias("protocol_id"), F.col("Title").alias("title"),
             F.col("Specialty").alias("specialty"), F.col("Version").alias("version"),
             F.col("LastUpdated").alias("last_updated"), F.col("Authority").alias("authority"),
             F.split("Keywords", r"\s*,\s*").alias("keywords"),
@@ -153,7 +160,7 @@ def protocol_documents(sections: DataFrame) -> DataFrame:
         F.lit("\n"), F.coalesce("text", F.lit("")),
     )
     return sections.select(
-        text.alias("page_content"), "source", F.lit(PROTOCOL_TYPE).alias("type"),
+        doc_key("path", "section_no"), text.alias("page_content"), "source", F.lit(PROTOCOL_TYPE).alias("type"),
         F.coalesce("specialty", F.lit(DEFAULT_FOCUS)).alias("focus"),
         F.col("protocol_id").alias("original_id"),
     )
@@ -163,7 +170,7 @@ def protocol_documents(sections: DataFrame) -> DataFrame:
 
 
 def read_json_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per JSON file: ``value`` and ``source``. The format is one object per file."""
+    """One row per JSON file: ``value``, ``path`` and ``source``. The format is one object per file."""
     return _read(spark, "text", path, "value STRING", "*.json", wholetext=True)
 
 
@@ -196,7 +203,7 @@ def abstract_records(keyed: DataFrame) -> DataFrame:
     listed = F.try_variant_get("record", "$.CONTEXTS", "array<string>")
     scalar = _field("record", "CONTEXTS")
     return keyed.where(_is_object("record")).select(
-        F.col("source"), F.col("key").alias("pubmed_id"),
+        "path", "source", F.col("key").alias("pubmed_id"),
         F.coalesce(_field("record", "QUESTION"), F.lit("")).alias("question"),
         F.coalesce(F.array_join(listed, "\n"), scalar, F.lit("")).alias("context"),
         F.coalesce(_field("record", "LONG_ANSWER"), F.lit("")).alias("long_answer"),
@@ -205,6 +212,7 @@ def abstract_records(keyed: DataFrame) -> DataFrame:
 
 def abstract_documents(records: DataFrame) -> DataFrame:
     return records.select(
+        doc_key("path", "pubmed_id"),
         tx.abstract_text(F.col("context"), F.col("question"), F.col("long_answer")).alias("page_content"),
         "source", F.lit(ABSTRACT_TYPE).alias("type"), "pubmed_id",
     )
@@ -220,7 +228,7 @@ def is_corpus_json(file_name: Column) -> Column:
 def read_keyed_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Keyed records of all corpus JSON files under ``path``, chosen by file name first."""
     files = read_json_files(spark, path).where(is_corpus_json(F.col("source")))
-    return explode_keyed(files.select("value", "source"))
+    return explode_keyed(files.select("value", "path", "source"))
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:

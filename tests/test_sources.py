@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quaero.plans.ingest import build_collection
+from quaero.plans.answer import retrieve
+from quaero.plans.ingest import build_collection, open_corpus
 from quaero.sources import collection as store
 from quaero.sources import corpus as src
 
@@ -91,6 +92,15 @@ def test_build_masks_before_chunking(spark, fixtures):
     assert {len(r.embedding) for r in chunks.collect()} == {32}
 
 
+def test_open_corpus_and_search_it(spark, fixtures, tmp_path):
+    path = str(tmp_path / "corpus")
+    chunks = open_corpus(spark, f"{fixtures}/corpus", path)
+    assert chunks.select("corpus_id").distinct().count() == chunks.count() == 10
+    asked = spark.createDataFrame([(1, "hold the breath for hiccup")], "question_id int, question string")
+    top = retrieve(asked.withColumn("question_en", F.col("question")), chunks).first()
+    assert top.documents[0].source == "p01.xml" and top.retrieved == 4
+
+
 def test_collection_life_cycle(spark, tmp_path):
     path = str(tmp_path / "store")
     df = spark.createDataFrame([("a", 0, "x"), ("b", 0, "y")], "source string, chunk_no int, page_content string")

@@ -149,3 +149,21 @@ def test_cache_key_and_value_round_trip(spark):
     df = spark.createDataFrame([(["a", "b"], "g")], "d array<string>, g string")
     back = df.select(tx.parse_cache_value(tx.cache_value(F.col("d"), F.col("g"))).alias("v")).first().v
     assert back.documents == ["a", "b"] and back.generation == "g"
+
+
+def test_structured_replies(spark):
+    from quaero.operators import queues as qs
+
+    rows = [('{"is_valid": false, "reason": "fora"}',), ('{"binary_score": " Sim "}',), ("broken",)]
+    df = spark.createDataFrame(rows, "j string").select(qs.structured_reply(F.col("j")).alias("r"))
+    got = [(r.is_valid, r.reason, r.yes) for r in df.select("r.*", qs.score_is_yes(F.col("r.binary_score")).alias("yes")).collect()]
+    assert got == [(False, "fora", None), (None, None, True), (None, None, None)]
+
+
+def test_queues_leave_out_what_is_known(spark):
+    from quaero.operators import queues as qs
+
+    df = spark.createDataFrame([("qual febre?",), ("qual febre?",), ("mail a@b.co",), ("já respondida",), ("oi",)], "question string")
+    known = spark.createDataFrame([("já respondida", "Sim")], "question string, reply string")
+    row, = qs.relevance_queue(df, known).collect()
+    assert row.question == "qual febre?" and 'Pergunta: "qual febre?"' in row.prompt
