@@ -123,13 +123,21 @@ def is_session_word(text: Column) -> Column:
     return F.lower(strip(text)).isin(*SESSION_WORDS)
 
 
-def token_overlap(question: Column, document: Column) -> Column:
-    """Share of the distinct lower-case question tokens found in the document."""
-    asked = F.array_distinct(tokens(F.lower(question)))
+def question_tokens(question: Column) -> Column:
+    return F.array_distinct(tokens(F.lower(question)))
+
+
+def share_of_tokens(asked: Column, document: Column) -> Column:
+    """Share of the given distinct tokens found in the document."""
     shared = F.array_intersect(asked, tokens(F.lower(document)))
     return F.size(shared) / F.greatest(F.size(asked), F.lit(1))
 
 
+def token_overlap(question: Column, document: Column) -> Column:
+    """Share of the distinct lower-case question tokens found in the document."""
+    return share_of_tokens(question_tokens(question), document)
+
+
 def cache_key(question: Column) -> Column:
     return F.concat(F.lit(CACHE_KEY_PREFIX), F.md5(F.lower(question).cast("binary")))
 

@@ -41,9 +41,9 @@ def norm(vector: Column) -> Column:
 
 
 def cosine(left: Column, right: Column) -> Column:
-    """Cosine similarity; 0.0 when either vector has no length."""
-    scale = norm(left) * norm(right)
-    return F.when(scale == 0.0, F.lit(0.0)).otherwise(dot(left, right) / scale)
+    """Cosine similarity; 0.0 when either vector has no length, NULL when one is missing."""
+    ratio = F.try_divide(dot(left, right), norm(left) * norm(right))
+    return F.when(left.isNotNull() & right.isNotNull(), F.coalesce(ratio, F.lit(0.0)))
 
 
 def squared_l2(left: Column, right: Column) -> Column:

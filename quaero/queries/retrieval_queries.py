@@ -210,8 +210,9 @@ SELECT question_id, corpus_id, score, rank FROM hits"""
 def grade_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = user_questions(spark, sf_dir).select("question_id", "question")
     graded = docs.grade_documents(_retrieved(asked, document_collection(spark, sf_dir)))
-    kept = graded.select("question_id", "question", F.inline("documents"))
-    return kept.select(
+    # the outer form, since the inner one would filter on the graded array and grade twice
+    kept = graded.select("question_id", "question", F.inline_outer("documents"))
+    return kept.where(F.col("rank").isNotNull()).select(
         "question_id", F.col("rank").cast("bigint").alias("rank"), "source",
         F.round(tx.token_overlap(F.col("question"), F.col("page_content")), 8).alias("overlap"),
     )
@@ -283,10 +284,9 @@ def _answered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    share = gr.term_share(F.col("generation"), F.col("documents"))
-    return _answered(spark, sf_dir).select(
-        "question_id", F.round(share, 8).alias("term_share"),
-        (share >= gr.MIN_TERM_SHARE).alias("keyword_ok"),
+    return gr.with_term_share(_answered(spark, sf_dir)).select(
+        "question_id", F.round("term_share", 8).alias("term_share"),
+        (F.col("term_share") >= gr.MIN_TERM_SHARE).alias("keyword_ok"),
     )
 
 
