@@ -37,7 +37,8 @@ QUESTION_BLOCK_ROWS = 8192  # questions that meet one corpus block
 SLICE_ROWS = 512  # questions per matrix product inside a task
 MAX_PIVOTS = 1024
 MAX_BROADCAST_BYTES = 64 << 20
-MAX_SCAN_ROWS = 200_000_000  # partial results the scan may shuffle
+MAX_SCAN_ROWS = 200_000_000  # partial results the scan may shuffle at any rate
+SCAN_PARTITION_BYTES = 32 << 20  # vectors in one corpus partition, estimated low
 _SLACK = 1e-7  # widens every bound, far above rounding error
 
 
@@ -155,6 +156,18 @@ def _rank(hits: DataFrame, k: int, metric: Metric) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def pick_route(n_asked: int, n_stored: int, k: int, dims: int) -> str:
+    """Scan while the questions fit the executors and the partial results stay small.
+
+    A scan shuffles k hits per question and corpus partition, the cells shuffle
+    the corpus itself; so hits may grow up to a share of the corpus rows.
+    """
+    fits = n_asked * (dims + 2) * 8 <= MAX_BROADCAST_BYTES
+    partitions = 1 + n_stored * dims * 4 // SCAN_PARTITION_BYTES
+    few = n_asked * k * partitions <= max(MAX_SCAN_ROWS, n_stored // 8)
+    return "scan" if fits and few else "cells"
+
+
 def topk(
     questions: DataFrame,
     corpus: DataFrame,
@@ -187,10 +200,7 @@ def topk(
     if not (n_asked and n_stored and dims):
         empty = questions.sparkSession.createDataFrame([], schema)
         return empty.withColumn("rank", F.lit(1))
-    if route is None:
-        small = n_asked * (dims + 2) * 8 <= MAX_BROADCAST_BYTES
-        few_hits = n_asked * k * max(1, n_stored // BLOCK_ROWS) <= MAX_SCAN_ROWS
-        route = "scan" if small and few_hits else "cells"
+    route = route or pick_route(n_asked, n_stored, k, dims)
     if route == "scan":
         hits = _scan(asked, stored, k, kind, dims, schema, skip_same_id)
     else:

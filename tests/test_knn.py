@@ -125,3 +125,13 @@ def test_hash_embedding(spark):
     assert rows == [expected, [0.0] * 16, [0.0] * 16]
     unit = df.select(hash_embed(F.col("t"), 16, normalize=True)).first()[0]
     assert sum(x * x for x in unit) == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("asked, stored, route", [
+    (100, 10**11, "scan"),        # a few questions never move the corpus
+    (2_000, 10_000, "scan"),
+    (100_000, 10**11, "cells"),   # partial results would outgrow the corpus
+    (10**7, 10**6, "cells"),      # the questions do not fit
+])
+def test_route_follows_the_sizes(asked, stored, route):
+    assert knn.pick_route(asked, stored, 4, 64) == route
