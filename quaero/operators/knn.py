@@ -39,7 +39,9 @@ MAX_PIVOTS = 1024
 MAX_BROADCAST_BYTES = 64 << 20
 MAX_SCAN_ROWS = 200_000_000  # partial results the scan may shuffle at any rate
 SCAN_PARTITION_BYTES = 32 << 20  # vectors in one corpus partition, estimated low
-_SLACK = 1e-7  # widens every bound, far above rounding error
+PAIR_ROWS = 20_000  # candidate pairs scored at a time
+_SLACK = 1e-7  # widens every bound relative to the vectors' length, far above rounding error
+_TIE = 1e-9  # candidates this close to the limit are compared exactly
 
 
 @dataclass(frozen=True)
@@ -75,13 +77,22 @@ class Metric:
             matrix /= lengths[:, None]
         return matrix
 
-    def scores(self, questions: np.ndarray, corpus: np.ndarray) -> np.ndarray:
-        """Score matrix, one row per question and one column per corpus row."""
+    def costs(self, questions: np.ndarray, corpus: np.ndarray) -> tuple[np.ndarray, float]:
+        """Cost matrix, one row per question, lower is better; and how far it may be off."""
         product = questions @ corpus.T
         if self.name == "cosine":
-            return product
-        squares = np.square(questions).sum(axis=1)[:, None] + np.square(corpus).sum(axis=1)[None, :]
-        return np.maximum(squares - 2.0 * product, 0.0)
+            return -product, _TIE
+        asked, stored = np.square(questions).sum(axis=1), np.square(corpus).sum(axis=1)
+        noise = _TIE + 1e-12 * (asked.max() + stored.max())
+        return asked[:, None] + stored[None, :] - 2.0 * product, noise
+
+    def pair_costs(self, questions: np.ndarray, corpus: np.ndarray) -> np.ndarray:
+        """Cost of each row pair, at the precision ranks are compared with."""
+        if self.name == "cosine":
+            cost = -(questions * corpus).sum(axis=1)
+        else:
+            cost = np.square(questions - corpus).sum(axis=1)
+        return np.round(cost, SCORE_DIGITS) + 0.0
 
 
 METRICS = {"cosine": Metric("cosine"), "l2": Metric("l2")}
@@ -105,19 +116,26 @@ def _block_topk(
     question_ids: np.ndarray, questions: np.ndarray, skip_same_id: bool,
 ) -> pd.DataFrame:
     """The k best corpus rows of this block for each question, by ``cost``: lower is better."""
-    sign = 1.0 if metric.ascending else -1.0
     parts = [pd.DataFrame({"question_id": question_ids[:0], "corpus_id": corpus_ids[:0], "cost": []})]
     for start in range(0, len(question_ids) if len(corpus_ids) else 0, SLICE_ROWS):
         ids = question_ids[start : start + SLICE_ROWS]
         part = questions[start : start + SLICE_ROWS]
-        cost = sign * np.round(metric.scores(part, corpus), SCORE_DIGITS) + 0.0
+        cost, noise = metric.costs(part, corpus)
         if skip_same_id:
             cost[ids[:, None] == corpus_ids[None, :]] = np.inf
         keep = min(k, len(corpus_ids))
         limit = np.partition(cost, keep - 1, axis=1)[:, keep - 1]
-        asks, rows = np.nonzero((cost <= limit[:, None]) & np.isfinite(cost))
+        asks, rows = np.nonzero((cost <= limit[:, None] + noise) & np.isfinite(cost))
+        # the matrix product only selects; what is reported does not depend on the block
+        exact = [
+            metric.pair_costs(part[asks[i : i + PAIR_ROWS]], corpus[rows[i : i + PAIR_ROWS]])
+            for i in range(0, len(asks), PAIR_ROWS)
+        ]
         found = pd.DataFrame(
-            {"question_id": ids[asks], "corpus_id": corpus_ids[rows], "cost": cost[asks, rows]}
+            {
+                "question_id": ids[asks], "corpus_id": corpus_ids[rows],
+                "cost": np.concatenate(exact) if exact else np.zeros(0),
+            }
         )
         parts.append(_best(found, k))
     return pd.concat(parts[1:] or parts)
@@ -286,6 +304,7 @@ def _route_exact(pivots: np.ndarray, limits: pd.DataFrame, k: int):
         near[i, : len(row)] = row
     own = pivots[cells]
     between = _distances(own, own)
+    longest = np.sqrt(np.square(own).sum(axis=1)).max() + radius.max()
 
     def visit(rows: np.ndarray) -> list[np.ndarray]:
         gaps = _distances(rows, own)
@@ -300,7 +319,8 @@ def _route_exact(pivots: np.ndarray, limits: pd.DataFrame, k: int):
             plane = (np.square(gaps) - np.square(home_gap)[:, None]) / (2.0 * between[home])
         plane[~np.isfinite(plane)] = 0.0
         floor = np.maximum(gaps - radius[None, :], plane)
-        open_cells = floor <= limit[:, None] + _SLACK
+        slack = _SLACK * (1.0 + np.sqrt(np.square(rows).sum(axis=1)) + longest)
+        open_cells = floor <= (limit + slack)[:, None]
         return [cells[mask] for mask in open_cells]
 
     return visit

@@ -135,3 +135,13 @@ def test_hash_embedding(spark):
 ])
 def test_route_follows_the_sizes(asked, stored, route):
     assert knn.pick_route(asked, stored, 4, 64) == route
+
+
+@pytest.mark.parametrize("route", ["scan", "cells"])
+def test_copies_of_long_vectors_tie_exactly(spark, route):
+    rng = np.random.default_rng(8)
+    corpus = np.round(1e4 + rng.normal(size=(200, 16)), 2)
+    corpus[100:] = corpus[:100]
+    questions = corpus[:40]
+    got = knn.topk(frame(spark, questions, "question_id"), frame(spark, corpus, "corpus_id"), 3, "l2", route=route)
+    assert found(got) == brute(questions, corpus, 3, "l2")
