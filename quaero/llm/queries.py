@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaero.llm import decontaminate, packing, token_counts
+from quaero.llm import decontaminate, near_dedup, packing, token_counts
 from quaero.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -18,6 +18,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, tokenizer(PIECE_BPE))
@@ -51,7 +55,22 @@ ds AS (SELECT doc_id, unnest(s) AS x FROM d), bs AS (SELECT item_id, len(s) AS n
 SELECT doc_id, item_id, max(n) AS item_shingles, count(*) AS shared_shingles
 FROM ds JOIN bs USING (x) GROUP BY doc_id, item_id HAVING 10 * count(*) >= 8 * max(n)"""
 
+SQL_NEAR_DEDUP = f"""
+WITH RECURSIVE d AS ({sql_shingles('documents', 'doc_id')}),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM d),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b USING (x) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 85 * (max(a.n) + max(b.n) - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS r FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.r),
+c AS (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, len(d.s) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d JOIN c ON c.doc_id = d.doc_id"""
+
 REGISTRY = {
+    "op3_near_dedup": (op3_near_dedup, SQL_NEAR_DEDUP),
     "op4_token_counts": (op4_token_counts, None),
     "op9_decontaminate": (op9_decontaminate, SQL_DECONTAMINATE),
     "op10_pack": (op10_pack, None),
