@@ -150,3 +150,32 @@ def segment_hashes(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.
     table = _power_table(int(length.max()) + 1 if len(length) else 1)
     h = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * table[place], first)
     return first, length, mix(h + length.astype(np.uint64) * _LEN_MULT)
+
+
+# One counter byte per bit of a hash byte, so that eight bits are added at once.
+_LANES = np.array(
+    [sum(1 << (8 * k) for k in range(8) if value >> (7 - k) & 1) for value in range(256)], dtype=np.uint64
+)
+
+
+def simhash(words: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
+    """A SimHash of 128 bits for each row from its word hashes: ``n_rows`` x 16 bytes.
+
+    A bit is set where more words have it than not; without words all bits are 0.
+    """
+    made = np.zeros((n_rows, 16), dtype=np.uint8)
+    if not len(words):
+        return made
+    heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    sizes = np.diff(np.append(heads, len(words)))
+    pieces = -(-sizes // 255)  # a byte counts to 255
+    within = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = np.repeat(heads, pieces) + 255 * within
+    owner = np.cumsum(pieces) - pieces
+    hashes = np.stack([words, mix(words ^ np.uint64(0x94D049BB133111EB))], axis=1).view(np.uint8)
+    for k in range(16):
+        lanes = np.add.reduceat(_LANES[hashes[:, k]], starts)
+        counts = lanes.view(np.uint8).reshape(-1, 8).astype(np.int64)
+        counts = np.add.reduceat(counts, owner, axis=0)
+        made[row[heads], k] = np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little").ravel()
+    return made

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaero.llm import decontaminate, near_dedup, packing, token_counts
+from quaero.llm import decontaminate, line_dedup, near_dedup, packing, token_counts
 from quaero.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -27,6 +27,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer(PIECE_BPE))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = line_dedup.dedup_lines(docs)
+    return done.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
@@ -72,6 +78,7 @@ FROM d JOIN c ON c.doc_id = d.doc_id"""
 REGISTRY = {
     "op3_near_dedup": (op3_near_dedup, SQL_NEAR_DEDUP),
     "op4_token_counts": (op4_token_counts, None),
+    "op7_line_dedup": (op7_line_dedup, None),
     "op9_decontaminate": (op9_decontaminate, SQL_DECONTAMINATE),
     "op10_pack": (op10_pack, None),
 }
