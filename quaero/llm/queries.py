@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaero.llm import decontaminate, line_dedup, near_dedup, packing, token_counts
+from quaero.llm import decontaminate, line_dedup, near_dedup, packing, quality, token_counts
 from quaero.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -27,6 +27,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer(PIECE_BPE))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", (quality.fold() == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = line_dedup.dedup_lines(docs)
@@ -78,6 +87,7 @@ FROM d JOIN c ON c.doc_id = d.doc_id"""
 REGISTRY = {
     "op3_near_dedup": (op3_near_dedup, SQL_NEAR_DEDUP),
     "op4_token_counts": (op4_token_counts, None),
+    "op6_quality": (op6_quality, None),
     "op7_line_dedup": (op7_line_dedup, None),
     "op9_decontaminate": (op9_decontaminate, SQL_DECONTAMINATE),
     "op10_pack": (op10_pack, None),
