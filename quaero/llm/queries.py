@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaero.llm import decontaminate, line_dedup, near_dedup, packing, quality, token_counts
+from quaero.llm import bitsliced, decontaminate, line_dedup, near_dedup, packing, quality, token_counts
 from quaero.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -18,6 +18,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), percent=85)
 
@@ -70,6 +74,17 @@ ds AS (SELECT doc_id, unnest(s) AS x FROM d), bs AS (SELECT item_id, len(s) AS n
 SELECT doc_id, item_id, max(n) AS item_shingles, count(*) AS shared_shingles
 FROM ds JOIN bs USING (x) GROUP BY doc_id, item_id HAVING 10 * count(*) >= 8 * max(n)"""
 
+SQL_BITSLICED_TOPK = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20"""
+
 SQL_NEAR_DEDUP = f"""
 WITH RECURSIVE d AS ({sql_shingles('documents', 'doc_id')}),
 x AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM d),
@@ -85,6 +100,7 @@ SELECT d.doc_id, len(d.s) AS n_shingles, c.component_id, d.doc_id = c.component_
 FROM d JOIN c ON c.doc_id = d.doc_id"""
 
 REGISTRY = {
+    "op1_bitsliced_topk": (op1_bitsliced_topk, SQL_BITSLICED_TOPK),
     "op3_near_dedup": (op3_near_dedup, SQL_NEAR_DEDUP),
     "op4_token_counts": (op4_token_counts, None),
     "op6_quality": (op6_quality, None),
