@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaero.llm import bitsliced, decontaminate, line_dedup, near_dedup, packing, quality, token_counts
+from quaero.llm import bitsliced, chat, decontaminate, line_dedup, near_dedup, packing, quality, sharding, token_counts
 from quaero.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -31,6 +31,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer(PIECE_BPE))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), 16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -46,6 +53,29 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
 
 
+ODD_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op8_chat_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant"))
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(ODD_TEXT).alias("text")
+    )
+    done = chat.format_paths(chat.linear_messages(rows.unionByName(odd)))
+    turns = chat.read_turns(F.col("formatted"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    read = done.withColumn("turns", turns).withColumn(
+        "learned", chat.masked_text(F.col("formatted"), F.col("loss_spans"))
+    )
+    return read.select(
+        F.when(F.col("tree") != "", F.col("tree").cast("long")).alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
@@ -99,12 +129,29 @@ c AS (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, len(d.s) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM d JOIN c ON c.doc_id = d.doc_id"""
 
+SQL_CHAT_PATHS = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, regexp_replace(replace(text, '\', '\\'), '<(/?turn)', '<\\\1', 'g') AS t,
+         regexp_replace(replace(role, '\', '\\'), '<(/?turn)', '<\\\1', 'g') AS r FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(CAST(sum(length(text)) FILTER (role = 'assistant') AS BIGINT), 0) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(r) + length(t) + 25) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
 REGISTRY = {
     "op1_bitsliced_topk": (op1_bitsliced_topk, SQL_BITSLICED_TOPK),
     "op3_near_dedup": (op3_near_dedup, SQL_NEAR_DEDUP),
     "op4_token_counts": (op4_token_counts, None),
+    "op5_sharding": (op5_sharding, None),
     "op6_quality": (op6_quality, None),
     "op7_line_dedup": (op7_line_dedup, None),
+    "op8_chat_paths": (op8_chat_paths, SQL_CHAT_PATHS),
     "op9_decontaminate": (op9_decontaminate, SQL_DECONTAMINATE),
     "op10_pack": (op10_pack, None),
 }
