@@ -99,6 +99,15 @@ def item_blocks(sets: DataFrame, limit: int) -> list[tuple[int, int]]:
     return [(spread, a, b) for a, b in zip(edges[:-1], edges[1:])] if total else []
 
 
+def passes(items: DataFrame, item_id: str, item_text: str, width: int, containment: float, limit: int) -> Iterator[ItemBlock]:
+    """The items in blocks of about ``limit`` shingles, one after the other."""
+    sets = materialize(item_sets(items, item_id, item_text, width), "items")
+    for spread, a, b in item_blocks(sets, limit):
+        block = sets.where((spread >= a) & (spread < b)).collect()  # about ``limit`` numbers
+        if block:
+            yield ItemBlock(block, containment)
+
+
 def find_items(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
     item_id: str = "item_id", item_text: str = "text", width: int = SHINGLE_WORDS,
@@ -109,51 +118,55 @@ def find_items(
     Columns: the document's id, item_id, item_shingles, shared_shingles. Words are
     those of the near-duplicate operator. An item under ``width`` words is one
     sequence, so it is found only in documents of just these words. Items and
-    documents without words match nothing. Repeated rows on either side give
-    repeated matches; null ids are carried. Empty tables give no rows.
+    documents without words (null texts as well) match nothing. Repeated rows on
+    either side give repeated matches; null ids are carried. Other columns are
+    ignored; empty tables give no rows.
     """
     spark = docs.sparkSession
-    sets = materialize(item_sets(items, item_id, item_text, width), "items")
     rows = docs.select(F.col(doc_id).alias("key"), F.col(doc_text).cast("string").alias("text"))
     schema = f"`key` {rows.schema['key'].dataType.simpleString()}, {MATCHES}"
 
-    def one_pass(block: list) -> DataFrame:
-        held = spark.sparkContext.broadcast(ItemBlock(block, containment))
+    def one_pass(block: ItemBlock) -> DataFrame:
+        held = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items_here = held.value
+            here = held.value
             for batch in batches:
                 row, item, shared = [], [], []
                 for k, have in enumerate(column_shingle_sets(batch.column("text"), width)):
-                    for i, n in items_here.matches(have):
+                    for i, n in here.matches(have):
                         row.append(k), item.append(i), shared.append(n)
                 if row:
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("key").take(pa.array(row)),
-                            pa.array([items_here.ids[i] for i in item], type=pa.int64()),
-                            pa.array(items_here.sizes[item]), pa.array(shared, type=pa.int64()),
+                            pa.array([here.ids[i] for i in item], type=pa.int64()),
+                            pa.array(here.sizes[item]), pa.array(shared, type=pa.int64()),
                         ],
                         names=["key", "item_id", "item_shingles", "shared_shingles"],
                     )
 
         return rows.mapInArrow(run, schema)
 
-    found = []
-    for spread, a, b in item_blocks(sets, block_shingles):
-        block = sets.where((spread >= a) & (spread < b)).collect()  # about block_shingles numbers
-        if block:
-            found.append(one_pass(block))
+    found = [one_pass(x) for x in passes(items, item_id, item_text, width, containment, block_shingles)]
     if not found:
         return spark.createDataFrame([], schema).withColumnRenamed("key", doc_id)
     return reduce(DataFrame.unionAll, found).withColumnRenamed("key", doc_id)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no item; all columns stay. Rows with a null id are kept if clean.
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, doc_text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    width: int = SHINGLE_WORDS, containment: float = CONTAINMENT, block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """The rows of ``docs`` in which ``find_items`` finds nothing; all columns stay. Row-wise, so ids play no part."""
+    clean, names = docs, docs.columns
+    for block in passes(items, item_id, item_text, width, containment, block_shingles):
+        held = docs.sparkSession.sparkContext.broadcast(block)
 
-    The ids of hit documents are written once, so losing an executor costs no second search.
-    """
-    hits = find_items(docs, items, doc_id=doc_id, **options).select(doc_id).distinct()
-    hits = materialize(hits, "leaks").withColumnRenamed(doc_id, "hit_id")
-    return docs.join(hits, docs[doc_id].eqNullSafe(F.col("hit_id")), "left_anti")
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = [bool(held.value.matches(s)) for s in column_shingle_sets(batch.column("__text"), width)]
+                yield batch.select(names).filter(pa.array([not x for x in hit], type=pa.bool_()))
+
+        clean = clean.withColumn("__text", F.col(doc_text).cast("string")).mapInArrow(run, docs.schema)
+    return clean

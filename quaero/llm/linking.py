@@ -157,9 +157,17 @@ def crowded(spread: DataFrame) -> DataFrame:
     return spread.join(materialize(sizes, "regions"), "region")
 
 
-def only_ids(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """The rows whose ``column`` is among ``ids(id)``; broadcast only up to a counted limit."""
+def _listed(column: str, ids: DataFrame) -> DataFrame:
+    """``ids(id)`` under the name of the column; broadcast only up to a counted limit."""
     listed = ids.select(F.col("id").alias(column))
-    if ids.count() <= BROADCAST_IDS:
-        listed = F.broadcast(listed)
-    return rows.join(listed, column, "left_semi")
+    return F.broadcast(listed) if ids.count() <= BROADCAST_IDS else listed
+
+
+def only_ids(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``column`` is among ``ids(id)``."""
+    return rows.join(_listed(column, ids), column, "left_semi")
+
+
+def without_ids(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``column`` is not among ``ids(id)``; a null is not."""
+    return rows.join(_listed(column, ids), column, "left_anti")

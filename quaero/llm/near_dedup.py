@@ -5,7 +5,7 @@ place. Documents that share the first ``DEPTH`` values of an order are a region;
 inside, the order itself says who has the longest common prefix, so a crowded
 region is searched at greater depth (see ``linking``). Candidates are confirmed
 on the full shingle sets. Two documents at the threshold share no region with
-probability (1 - 0.85^4)^20 = 4e-7.
+probability (1 - t^4)^20: 4e-7 for t = 0.85, 3e-5 for t = 0.8.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ TREES = 20
 DEPTH = 4
 STEP = 6
 VALUES = TREES * STEP
-#: Least share of equal signature values of a candidate, 4.6 standard deviations under 0.85.
-LIKELY = 0.70
+#: A candidate may have this much less equal signature values than the threshold: 4 standard deviations or more.
+MARGIN = 0.15
 _KEEP = 40  # bits of a shingle hash that go into a stored set
 
 
@@ -93,8 +93,8 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
 class LikelyNear:
     """Sizes allow the threshold and enough signature values agree."""
 
-    def __init__(self, threshold: float, likely: float = LIKELY) -> None:
-        self.threshold, self.need = threshold, int(np.ceil(likely * VALUES))
+    def __init__(self, threshold: float) -> None:
+        self.threshold, self.need = threshold, int(np.ceil((threshold - MARGIN) * VALUES - 1e-9))
 
     def rows(self, sig: np.ndarray, n: np.ndarray, other: np.ndarray, m: np.ndarray) -> np.ndarray:
         fits = np.minimum(n, m) >= self.threshold * np.maximum(n, m) - 1e-9
@@ -165,3 +165,12 @@ def near_groups(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS, percent: int = 80
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_groups`` keeps, all columns unchanged."""
+    groups = near_groups(docs, id_col, text_col, width, percent)
+    gone = materialize(groups.where("NOT kept").select(F.col(id_col).alias("id")).distinct(), "copies")
+    return linking.without_ids(docs, id_col, gone)

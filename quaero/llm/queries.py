@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaero.llm import bitsliced, chat, decontaminate, line_dedup, near_dedup, packing, quality, sharding, token_counts
+from quaero.llm import bitsliced, chat, decontaminate, line_dedup, near_dedup, packing, quality, sharding, token_counts, warc
 from quaero.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +22,10 @@ def op1_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), percent=85)
 
@@ -115,6 +119,17 @@ s AS (
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20"""
 
+# base32 of the 20 bytes: eight groups of 20 bits, four letters each
+SQL_WARC_SALVAGE = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, payload_bytes, h, max(page_id) OVER (PARTITION BY h) AS top,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      CAST((CAST('0x' || substr(h, 5 * (k // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31 AS INTEGER) + 1, 1)
+      FOR k IN range(0, 32)], '') AS payload_digest FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to FROM d"""
+
 SQL_NEAR_DEDUP = f"""
 WITH RECURSIVE d AS ({sql_shingles('documents', 'doc_id')}),
 x AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM d),
@@ -146,6 +161,7 @@ FROM e GROUP BY conv_id"""
 
 REGISTRY = {
     "op1_bitsliced_topk": (op1_bitsliced_topk, SQL_BITSLICED_TOPK),
+    "op2_warc_salvage": (op2_warc_salvage, SQL_WARC_SALVAGE),
     "op3_near_dedup": (op3_near_dedup, SQL_NEAR_DEDUP),
     "op4_token_counts": (op4_token_counts, None),
     "op5_sharding": (op5_sharding, None),
