@@ -34,6 +34,7 @@ RECORDS = (
 _CHUNK = 1 << 16
 _MAGIC = b"\x1f\x8b\x08"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_MANDATORY = ("warc-record-id", "warc-date", "warc-type", "content-length")
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
 _OPENING = re.compile(rb"\x1f\x8b\x08|WARC/\d+\.\d+\r\n")
 
@@ -141,8 +142,10 @@ def parse_record(data: memoryview) -> tuple[dict[str, str], bytes, int]:
         if not colon:
             raise BadRecord("malformed header")
         headers[name.strip().lower()] = value.strip()
-    if not headers.get("content-length", "").isdecimal():
-        raise BadRecord("no content length")
+    if not all(headers.get(name) for name in _MANDATORY):
+        raise BadRecord("a mandatory header is missing")
+    if not headers["content-length"].isdecimal():
+        raise BadRecord("content length is no number")
     begin, size = close + 4, int(headers["content-length"])
     if begin + size + 4 > len(data):
         raise BadRecord("record is cut off")
