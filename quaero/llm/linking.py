@@ -10,7 +10,9 @@ no link that would join two groups:
    partitioning splits a crowded region at deeper prefixes, over many tasks.
 2. The verified links give groups. Only regions that step 1 did not cover and that
    still hold rows of several groups are searched whole, in blocks of bounded
-   size, and only for pairs between different groups.
+   size, and only for pairs between different groups. Here the full contents come
+   to the blocks, so that pairs are decided where they are found and only links
+   that join two groups leave a task.
 """
 
 from __future__ import annotations
@@ -24,13 +26,31 @@ from pyspark.sql import functions as F
 
 from quaero.llm.common import materialize
 
-WINDOW = 8
-BLOCK_ROWS = 2048
+WINDOW = 12
+BLOCK_ROWS = 1024
 BROADCAST_IDS = 4_000_000
 
-#: (signatures, sizes, one signature, one size) -> which rows may be near that one
-Near = Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]
 Verify = Callable[[DataFrame], DataFrame]
+Contents = Callable[[DataFrame], DataFrame]
+
+
+class Near:
+    """What a link asks of two rows, in the three forms the search needs.
+
+    ``rows``: cheap test of two lists of rows by signature and size, true for every
+    link but for a stated chance. ``certain``: the same without any chance of a miss.
+    ``prepare``: takes the contents of a block and returns ``linked(k, at)``, the
+    exact test of row ``k`` against the rows ``at``.
+    """
+
+    def rows(self, sig: np.ndarray, n: np.ndarray, other: np.ndarray, m: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
+
+    def certain(self, sig: np.ndarray, n: np.ndarray, other: np.ndarray, m: np.ndarray) -> np.ndarray:
+        return self.rows(sig, n, other, m)
+
+    def prepare(self, contents: list[pa.Buffer]) -> Callable[[int, np.ndarray], np.ndarray]:
+        raise NotImplementedError
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -70,42 +90,51 @@ def neighbour_pairs(members: DataFrame, near: Near, window: int = WINDOW) -> Dat
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def crossing_pairs(members: DataFrame, groups: DataFrame, near: Near, window: int, block: int) -> DataFrame:
-    """Near pairs between different groups, in regions too large for ``neighbour_pairs``."""
+def mixed_regions(members: DataFrame, groups: DataFrame, window: int) -> DataFrame:
+    """The rows, with their group, of regions too large for ``neighbour_pairs`` that hold several groups."""
     wide = members.where(F.col("m") > window + 1).select("id", "region", "n", "m", "signature")
     wide = wide.join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
     mixed = wide.groupBy("region").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y")
-    wide = wide.join(mixed.select("region"), "region", "left_semi")
+    return wide.join(mixed.select("region"), "region", "left_semi")
+
+
+def joining_links(mixed: DataFrame, contents: DataFrame, near: Near, block: int) -> DataFrame:
+    """Links (a, b) that join different groups of a region; contents(id, content)."""
     blocks = F.ceil(F.col("m") / block).cast("int")
-    wide = wide.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    wide = wide.select(
+    rows = mixed.join(contents, "id").withColumn("blocks", blocks)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
         "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "id", "n", "group", "signature",
+        "block", "id", "n", "group", "signature", "content",
     )
 
-    def run(rows: pa.Table) -> pa.Table:
-        order = np.argsort(rows["id"].to_numpy(), kind="stable")
-        rows = rows.take(pa.array(order))
-        ids, n, group, side = (rows[c].to_numpy() for c in ("id", "n", "group", "block"))
-        cross = rows["i"][0].as_py() != rows["j"][0].as_py()
-        sig = _signatures(rows["signature"].combine_chunks())
-        names, counts = np.unique(group, return_counts=True)
-        main = group == names[counts.argmax()]
+    def run(part: pa.Table) -> pa.Table:
+        part = part.take(pa.array(np.argsort(part["id"].to_numpy(), kind="stable")))
+        ids, n, group, side = (part[c].to_numpy() for c in ("id", "n", "group", "block"))
+        names, root, counts = np.unique(group, return_inverse=True, return_counts=True)
+        root = root.copy()
+        main = root == counts.argmax()
         a, b = [], []
-        for k in np.flatnonzero(~main).tolist():
-            other = group != group[k]
-            other &= main | (np.arange(len(ids)) > k)
-            if cross:
-                other &= side != side[k]
-            at = np.flatnonzero(other)
-            at = at[near.rows(sig[at], n[at], sig[k][None, :], n[k])]
-            a.append(np.full(len(at), ids[k])), b.append(ids[at])
-        a = np.concatenate(a) if a else ids[:0]
-        b = np.concatenate(b) if b else ids[:0]
+        if len(names) > 1:
+            cross = part["i"][0].as_py() != part["j"][0].as_py()
+            sig = _signatures(part["signature"].combine_chunks())
+            linked = near.prepare([x.as_buffer() for x in part["content"]])
+            place = np.arange(len(ids))
+            for k in np.flatnonzero(~main).tolist():
+                at = (root != root[k]) & (main | (place > k))
+                if cross:
+                    at &= side != side[k]
+                at = np.flatnonzero(at)
+                at = at[near.certain(sig[at], n[at], sig[k][None, :], n[k])] if len(at) else at
+                at = at[linked(k, at)] if len(at) else at
+                for r, x in zip(*np.unique(root[at], return_index=True)):  # one link for each group met
+                    a.append(int(ids[k])), b.append(int(ids[at[x]]))
+                    root[root == r] = root[k]
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return wide.groupBy("region", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return rows.groupBy("region", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -133,22 +162,23 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def link_groups(
-    members: DataFrame, near: Near, verify: Verify, window: int = WINDOW, block: int = BLOCK_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """(groups of linked ids, verified links) for members(id, region, m, n, signature).
+    members: DataFrame, near: Near, verify: Verify, contents: Contents, window: int = WINDOW, block: int = BLOCK_ROWS
+) -> DataFrame:
+    """(id, group) of linked rows, for members(id, region, m, n, signature).
 
     ``m`` is the number of rows of the region and ``n`` the row's size; ids are not
-    null. ``verify`` keeps the true links of candidate pairs (a, b). The links hold
-    enough pairs to span every group, not all pairs of a group.
+    null. ``verify`` keeps the true links of candidate pairs (a, b); ``contents``
+    gives (id, content) for listed ids(id).
     """
     links = materialize(verify(materialize(neighbour_pairs(members, near, window), "candidates")), "links")
     groups = materialize(components(links), "groups")
-    more = materialize(crossing_pairs(members, groups, near, window, block), "candidates")
-    if more.isEmpty():
-        return groups, links
-    more = materialize(verify(more), "links")
-    spanning = groups.select(F.col("id").alias("a"), F.col("group").alias("b")).unionAll(more.select("a", "b"))
-    return materialize(components(spanning), "groups"), links.unionAll(more)
+    mixed = materialize(mixed_regions(members, groups, window), "mixed")
+    if mixed.isEmpty():
+        return groups
+    ids = materialize(mixed.select("id").distinct(), "involved")
+    more = joining_links(mixed, materialize(contents(ids), "contents"), near, block)
+    spanning = groups.select(F.col("id").alias("a"), F.col("group").alias("b")).unionAll(more)
+    return materialize(components(spanning), "groups")
 
 
 def crowded(spread: DataFrame) -> DataFrame:

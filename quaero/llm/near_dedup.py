@@ -10,7 +10,7 @@ probability (1 - t^4)^20: 4e-7 for t = 0.85, 3e-5 for t = 0.8.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaero.llm import linking
-from quaero.llm.common import materialize
+from quaero.llm.common import materialize, ragged_take
 from quaero.llm.kernels import SHINGLE_WORDS, column_shingle_sets, mix
 
 TREES = 20
@@ -90,31 +90,56 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, regions array<long>, signature binary")
 
 
-class LikelyNear:
-    """Sizes allow the threshold and enough signature values agree."""
+class Similar(linking.Near):
+    """Shingle sets with 100 * intersection >= percent * union."""
 
-    def __init__(self, threshold: float) -> None:
-        self.threshold, self.need = threshold, int(np.ceil((threshold - MARGIN) * VALUES - 1e-9))
+    def __init__(self, percent: int) -> None:
+        self.percent, self.need = percent, int(np.ceil((percent / 100 - MARGIN) * VALUES - 1e-9))
 
     def rows(self, sig: np.ndarray, n: np.ndarray, other: np.ndarray, m: np.ndarray) -> np.ndarray:
-        fits = np.minimum(n, m) >= self.threshold * np.maximum(n, m) - 1e-9
         left = np.ascontiguousarray(sig).view(np.uint16)
         right = np.ascontiguousarray(other).view(np.uint16)
-        return fits & (np.count_nonzero(left == right, axis=1) >= self.need)
+        return self.certain(sig, n, other, m) & (np.count_nonzero(left == right, axis=1) >= self.need)
 
+    def certain(self, sig: np.ndarray, n: np.ndarray, other: np.ndarray, m: np.ndarray) -> np.ndarray:
+        return 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    ids = materialize(ids, "involved")
+    def prepare(self, contents: list[pa.Buffer]) -> Callable[[int, np.ndarray], np.ndarray]:
+        sets = [unpack_set(x) for x in contents]
+        sizes = np.array([len(x) for x in sets], dtype=np.int64)
+        begins = np.cumsum(sizes) - sizes
+        names, number = np.unique(np.concatenate(sets), return_inverse=True)
+        mine = np.zeros(len(names), dtype=bool)
+
+        def linked(k: int, at: np.ndarray) -> np.ndarray:
+            own = number[begins[k] : begins[k] + sizes[k]]
+            mine[own] = True
+            heads = np.cumsum(sizes[at]) - sizes[at]
+            shared = np.add.reduceat(mine[number[ragged_take(begins[at], sizes[at])]], heads, dtype=np.int64)
+            mine[own] = False
+            return 100 * shared >= self.percent * (sizes[at] + sizes[k] - shared)
+
+        return linked
+
+
+def stored_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, content): the packed shingle sets of documents(id, text) among ids(id)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [pack_set(s) for s in column_shingle_sets(batch.column("text"), width)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, type=pa.binary())], names=["id", "set"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(made, type=pa.binary())], names=["id", "content"]
+            )
 
     texts = linking.only_ids(docs, "id", ids)
-    held = materialize(texts.mapInArrow(sets, "id long, set binary"), "sets")
+    return texts.mapInArrow(sets, "id long, content binary").dropDuplicates(["id"])
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    held = materialize(stored_sets(docs, materialize(ids, "involved"), width), "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,9 +150,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
                 good.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, type=pa.bool_()))
 
-    both = pairs.join(held.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
-    both = both.join(held.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
+    both = pairs.join(held.select(F.col("id").alias("a"), F.col("content").alias("x")), "a")
+    both = both.join(held.select(F.col("id").alias("b"), F.col("content").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 def near_groups(
@@ -154,8 +179,9 @@ def near_groups(
     members = materialize(
         entries.select(F.col("rep").alias("id"), "region", "m", "n", turned.alias("signature")), "members"
     )
-    groups, _ = linking.link_groups(
-        members, LikelyNear(percent / 100), lambda pairs: confirm(pairs, rows, width, percent)
+    groups = linking.link_groups(
+        members, Similar(percent), lambda pairs: confirm(pairs, rows, width, percent),
+        lambda ids: stored_sets(rows, ids, width),
     )
     named = classes.select("n", "f1", "f2", "rep").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
     named = materialize(named.select("n", "f1", "f2", F.coalesce("group", "rep").alias("component")), "components")
