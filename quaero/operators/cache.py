@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ from quaero.session import materialize
 
 TTL_SECONDS = 3600
 HOT_KEY_ROWS = 1_000_000
-MAX_TIME_BUCKETS = 1_000_000
 
 
 def _ttl(seconds: int) -> Column:
@@ -109,54 +109,69 @@ def replay(
     order_id: str = "ask_id",
     ttl_seconds: int = TTL_SECONDS,
     hot_key_rows: int = HOT_KEY_ROWS,
+    first: str | None = None,
 ) -> DataFrame:
     """Add ``hit`` to each request of a log, as an initially empty cache would answer.
 
     A miss stores the answer for ``ttl_seconds``; a hit does not extend it.
+    Requests of one time are ordered by ``order_id``, NULL ids first; rows that agree
+    in both are told apart, so only one of them can be the miss. A request without a
+    time is a miss and stores nothing. NULL keys are one key. Of equal times the rows
+    with the flag ``first`` come before the others.
+
     Ordinary keys are walked in time order, one pass with constant memory. A key
     with more than ``hot_key_rows`` requests would keep one task busy, so such
     keys go through :func:`_replay_hot`, which spreads one key over all tasks.
     """
     ntz = isinstance(log.schema[asked_at].dataType, T.TimestampNTZType)
-    timed = log.withColumn("_t", micros(F.col(asked_at), ntz))
+    timed = log.withColumn("_t", micros(F.col(asked_at), ntz)).withColumn(
+        "_k", F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("n"))
+    ).withColumn("_first", F.lit(0) if first is None else F.when(F.col(first), 0).otherwise(1))
     # at most rows / hot_key_rows keys can be hot
     hot_keys = materialize(
-        timed.groupBy(key).count().where(F.col("count") > hot_key_rows).select(key), "hot-keys"
+        timed.groupBy("_k").count().where(F.col("count") > hot_key_rows).select("_k"), "hot-keys"
     )
     if hot_keys.isEmpty():
-        return _replay_walk(timed, key, order_id, ttl_seconds).drop("_t")
-    cold = _replay_walk(timed.join(hot_keys, key, "left_anti"), key, order_id, ttl_seconds)
-    hot = _replay_hot(timed.join(hot_keys, key, "left_semi"), key, order_id, ttl_seconds)
-    return cold.unionByName(hot).drop("_t")
+        return _replay_walk(timed, order_id, ttl_seconds).drop("_t", "_k", "_first")
+    cold = _replay_walk(timed.join(hot_keys, "_k", "left_anti"), order_id, ttl_seconds)
+    hot = _replay_hot(timed.join(hot_keys, "_k", "left_semi"), order_id, ttl_seconds)
+    return cold.unionByName(hot).drop("_t", "_k", "_first")
 
 
-def _replay_walk(timed: DataFrame, key: str, order_id: str, ttl_seconds: int) -> DataFrame:
+def _replay_walk(timed: DataFrame, order_id: str, ttl_seconds: int) -> DataFrame:
     ttl = ttl_seconds * 1_000_000
     schema = T.StructType([*timed.schema.fields, T.StructField("hit", T.BooleanType())])
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, expires = None, 0
+        current, expires = None, -math.inf
         for batch in batches:
-            hits = []
-            for asked, t in zip(batch[key].tolist(), batch["_t"].tolist()):
-                hit = asked == current and t < expires
-                if not hit:
-                    current, expires = asked, t + ttl
-                hits.append(hit)
+            keys, times = batch["_k"].to_numpy(), batch["_t"].to_numpy(dtype=float, na_value=math.nan)
+            exact = batch["_t"].to_numpy(dtype="int64", na_value=0)
+            hits = np.zeros(len(batch), dtype=bool)
+            heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(batch) else []
+            for a, b in zip(heads, [*heads[1:], len(batch)]):
+                if keys[a] != current:
+                    current, expires = keys[a], -math.inf
+                at = a + int(np.isnan(times[a:b]).sum())  # requests without a time stand first
+                hits[at:b] = True
+                at += int(np.searchsorted(exact[at:b], expires))
+                while at < b:  # from miss to miss
+                    hits[at] = False
+                    expires = int(exact[at]) + ttl
+                    at += int(np.searchsorted(exact[at:b], expires))
             yield batch.assign(hit=hits)
 
-    return timed.repartition(key).sortWithinPartitions(key, "_t", order_id).mapInPandas(walk, schema)
+    return timed.repartition("_k").sortWithinPartitions("_k", "_t", "_first", order_id).mapInPandas(walk, schema)
 
 
 def _successors(points: DataFrame, key: str, ttl: int) -> DataFrame:
     """For each distinct request time the first one at or after time + ttl: ``(key, t, nxt)``.
 
-    Time is cut into buckets, so the widest window holds one key for one bucket;
+    Time is cut into buckets of one ttl, so the widest window holds one key for one bucket;
     where the target's bucket has no later request, the next filled bucket gives
     its first one.
     """
-    span = points.agg((F.max("t") - F.min("t")).alias("span")).first()["span"]
-    width = max(1_000_000, math.ceil(span / MAX_TIME_BUCKETS))
+    width = max(1_000_000, ttl)
     bucket = F.floor(F.col("target") / width)
     stored = points.select(key, F.col("t").alias("target"), F.col("t").alias("node"),
                            F.lit(None).cast("bigint").alias("origin"))
@@ -183,7 +198,7 @@ def _successors(points: DataFrame, key: str, ttl: int) -> DataFrame:
     )
 
 
-def _replay_hot(timed: DataFrame, key: str, order_id: str, ttl_seconds: int) -> DataFrame:
+def _replay_hot(timed: DataFrame, order_id: str, ttl_seconds: int) -> DataFrame:
     """Replay without walking: follow all miss-to-next-miss links at once.
 
     Every request time links to the miss that would follow if it were a miss
@@ -191,26 +206,25 @@ def _replay_hot(timed: DataFrame, key: str, order_id: str, ttl_seconds: int) ->
     doubled until none is left, then replayed from the longest down. All joins
     are on (key, time), which is unique, so a single key spreads evenly.
     """
-    points = timed.groupBy(key, F.col("_t").alias("t")).agg(F.min(order_id).alias("first_id"))
+    points = timed.where("_t IS NOT NULL").select("_k", F.col("_t").alias("t")).distinct()
     points = materialize(points, "points")
     links = [
         materialize(
-            _successors(points, key, ttl_seconds * 1_000_000).where(F.col("nxt").isNotNull()),
+            _successors(points, "_k", ttl_seconds * 1_000_000).where(F.col("nxt").isNotNull()),
             "links",
         )
     ]
     while not links[-1].isEmpty():
         near = links[-1].alias("near")
-        far = links[-1].select(F.col(key), F.col("t").alias("nxt"), F.col("nxt").alias("end"))
-        doubled = near.join(far, [key, "nxt"]).select(key, "t", F.col("end").alias("nxt"))
+        far = links[-1].select("_k", F.col("t").alias("nxt"), F.col("nxt").alias("end"))
+        doubled = near.join(far, ["_k", "nxt"]).select("_k", "t", F.col("end").alias("nxt"))
         links.append(materialize(doubled, "links"))
-    missed = points.groupBy(key).agg(F.min("t").alias("t"))
+    missed = points.groupBy("_k").agg(F.min("t").alias("t"))
     for jump in reversed(links[:-1]):
-        reached = missed.join(jump, [key, "t"]).select(key, F.col("nxt").alias("t"))
+        reached = missed.join(jump, ["_k", "t"]).select("_k", F.col("nxt").alias("t"))
         missed = materialize(missed.unionByName(reached), "missed")
-    first = points.join(missed, [key, "t"]).select(
-        key, F.col("t").alias("_t"), F.col("first_id").alias(order_id), F.lit(False).alias("hit")
-    )
-    return timed.join(first, [key, "_t", order_id], "left").select(
-        *timed.columns, F.coalesce("hit", F.lit(True)).alias("hit")
-    )
+    missed = missed.select("_k", F.col("t").alias("_t"), F.lit(True).alias("_missed"))
+    one_time = Window.partitionBy("_k", "_t").orderBy("_first", order_id)
+    ranked = timed.join(missed, ["_k", "_t"], "left").withColumn("_nth", F.row_number().over(one_time))
+    miss = F.col("_t").isNull() | (F.coalesce("_missed", F.lit(False)) & (F.col("_nth") == 1))
+    return ranked.select(*timed.columns, (~miss).alias("hit"))

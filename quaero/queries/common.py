@@ -18,7 +18,8 @@ from quaero.functions.vectors import DEFAULT_DIMS, hash_embed
 from quaero.session import shared_folder
 from quaero.sources.collection import open_or_build
 
-TURNS_PER_CONVERSATION = 1000
+# A question's id is its conversation and turn in one 64-bit number: 32 bits each.
+TURNS_PER_CONVERSATION = 1 << 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,3 +80,22 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = os.path.join(shared_folder(spark), "quaero", f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def expire(spark: SparkSession, folder: str, older_than_seconds: float, prefix: str = "", keep: str = "") -> int:
+    """Delete the folders right below ``folder`` last written so long ago; returns their number.
+
+    ``expire(spark, shared_folder(spark) + "/quaero", ...)`` clears the tables of
+    :func:`materialize`; choose a time no running job needs them any more.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return 0
+    latest, gone = time.time() * 1000 - older_than_seconds * 1000, 0
+    for status in files.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix) and name != keep and status.getModificationTime() < latest:
+            gone += files.delete(status.getPath(), True)
+    return gone

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quaero.session import expire
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
@@ -30,19 +33,25 @@ def lay_out(df: DataFrame) -> DataFrame:
 
 
 def write_collection(df: DataFrame, path: str) -> None:
-    """Store a new collection; fails if there is one already."""
-    df.write.mode("errorifexists").parquet(f"{path}/version=1")
-    _point_to(df.sparkSession, path, 1)
+    """Store a new collection; fails if there is one already. A build that died before is no collection."""
+    if _pointer(df.sparkSession, path) is not None:
+        raise FileExistsError(f"[PATH_ALREADY_EXISTS] there is a collection at {path}")
+    _write_version(df, path)
 
 
-def _pointer(spark: SparkSession, path: str) -> int | None:
+def _pointer(spark: SparkSession, path: str) -> str | None:
+    """The version made current last; of two made so in the same microsecond, one for all readers."""
     if not _exists(spark, f"{path}/pointer"):
         return None
-    return spark.read.parquet(f"{path}/pointer").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/pointer").agg(F.max_by("version", F.struct("at", "version"))).first()[0]
 
 
-def _point_to(spark: SparkSession, path: str, version: int) -> None:
-    spark.createDataFrame([(version,)], "version int").write.mode("append").parquet(f"{path}/pointer")
+def _write_version(df: DataFrame, path: str) -> None:
+    """A folder of its own, then the pointer: writers never share a folder, readers never see a half one."""
+    version = uuid.uuid4().hex
+    df.write.mode("errorifexists").parquet(f"{path}/version={version}")
+    now = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
+    now.write.mode("append").parquet(f"{path}/pointer")
 
 
 def open_collection(spark: SparkSession, path: str) -> DataFrame:
@@ -58,11 +67,13 @@ def reset_collection(df: DataFrame, path: str) -> DataFrame:
 
     Readers of the old version are not disturbed, and ``df`` may be built from it.
     """
-    spark = df.sparkSession
-    version = (_pointer(spark, path) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
-    _point_to(spark, path, version)
-    return open_collection(spark, path)
+    _write_version(df, path)
+    return open_collection(df.sparkSession, path)
+
+
+def expire_versions(spark: SparkSession, path: str, older_than_seconds: float) -> int:
+    """Delete versions that are not current and were last written so long ago; returns their number."""
+    return expire(spark, path, older_than_seconds, "version=", keep=f"version={_pointer(spark, path)}")
 
 
 def open_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:

@@ -34,7 +34,7 @@ Content STRUCT<Section: ARRAY<STRUCT<Name: STRING, Text: STRING>>>,
 _corrupt_record STRING
 """
 
-QUARANTINE_SCHEMA = "source STRING, record STRING"
+QUARANTINE_SCHEMA = "path STRING, source STRING, record STRING"
 
 # Defaults and tags of indexed documents.
 DEFAULT_FOCUS = "General Health"
@@ -85,7 +85,7 @@ def _read_xml(
     broken = F.col("_corrupt_record").isNotNull()
     return (
         df.where(~broken).drop("_corrupt_record"),
-        df.where(broken).select("source", F.col("_corrupt_record").alias("record")),
+        df.where(broken).select("path", "source", F.col("_corrupt_record").alias("record")),
     )
 
 
@@ -232,14 +232,14 @@ def read_keyed_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
-    """``{id: label}`` files as ``(id, label)``."""
-    files = read_json_files(spark, path)
-    return files.select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "label"))
+    """``{id: label}`` files as ``(id, label)``; see :func:`json_quarantine` for files that are no object."""
+    keyed, _ = explode_keyed(read_json_files(spark, path).select("value", "path", "source"))
+    return keyed.select(F.col("key").alias("id"), F.try_variant_get("record", "$", "string").alias("label"))
 
 
 def read_labelled_set(spark: SparkSession, path: str) -> DataFrame:
     """``{id: {final_decision, ...}}`` files as one row per id with three label columns."""
-    keyed, _ = explode_keyed(read_json_files(spark, path).select("value", "source"))
+    keyed, _ = explode_keyed(read_json_files(spark, path).select("value", "path", "source"))
     return keyed.where(_is_object("record")).select(
         F.col("key").alias("id"),
         *[
@@ -249,6 +249,12 @@ def read_labelled_set(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def json_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """One row per JSON file under ``path`` that does not hold an object."""
+    files = read_json_files(spark, path).select("path", "source", "value")
+    return explode_keyed(files)[1].select("path", "source", "record")
+
+
 # --- mixed folders ------------------------------------------------------------------
 
 
@@ -272,5 +278,5 @@ def load_corpus(
     ]
     for part in parts:
         documents = documents.unionByName(part, allowMissingColumns=True)
-    broken = broken_qa.unionByName(broken_protocol).unionByName(broken_json.select("source", "record"))
-    return documents, broken.dropDuplicates(["source"])
+    broken = broken_qa.unionByName(broken_protocol).unionByName(broken_json.select("path", "source", "record"))
+    return documents, broken.dropDuplicates(["path"])

@@ -1,67 +1,127 @@
-"""The expiring cache as keyed state over a request stream."""
+"""The expiring cache over a request stream, the same for any cut into micro-batches.
+
+A micro-batch keeps requests that later arrivals may still precede, judges those
+the watermark has passed with the batch operator, and stores what the next batch
+needs: the requests still open and each live key's last miss. Requests that arrive
+behind the watermark are not judged; they go to a table of their own.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
-from quaero.operators.cache import TTL_SECONDS
+from quaero.operators.cache import TTL_SECONDS, micros, replay
 
+FINAL = "final"
 
-def replay_stream(
-    asks: DataFrame,
-    key: str = "cache_key",
-    asked_at: str = "asked_at",
-    order_id: str = "ask_id",
-    ttl_seconds: int = TTL_SECONDS,
-    lateness: str = "10 minutes",
-) -> DataFrame:
-    """Hit or miss for every request, in event-time order within a micro-batch.
 
-    The state of a key is one number, the time its entry expires; the watermark
-    removes it once it can no longer matter. Rows are sorted per key and batch,
-    so the source's rate limit bounds what a hot key brings into memory.
-    """
-    ttl = ttl_seconds * 1_000_000
-    timed = (
-        asks.select(key, F.col(asked_at).cast("timestamp").alias(asked_at), order_id)
-        .withColumn("_t", F.unix_micros(asked_at))
-        .withWatermark(asked_at, lateness)
-    )
-    fields = {f.name: f for f in timed.schema.fields}
-    schema = T.StructType(
-        [fields[key], fields[order_id], fields["_t"], T.StructField("hit", T.BooleanType())]
-    )
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+class CacheStream:
+    """Folders of one stream: ``hits``, ``late``, ``open``, ``misses`` and ``clock``, a part per batch."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, key: str = "cache_key", asked_at: str = "asked_at",
+        order_id: str = "ask_id", ttl_seconds: int = TTL_SECONDS, lateness_seconds: int = 600,
+    ) -> None:
+        self.spark, self.root = spark, root
+        self.key, self.asked_at, self.order_id = key, asked_at, order_id
+        self.ttl, self.lateness = ttl_seconds, lateness_seconds * 1_000_000
+
+    def path(self, name: str, part: object) -> str:
+        return os.path.join(self.root, name, f"part={part}")
+
+    def _clock(self, part: int) -> int | None:
+        """The watermark after a batch, in microseconds; None before any dated request."""
+        if part < 0:
+            return None
+        return _read(self.spark, self.path("clock", part), T.StructType.fromDDL("w long")).agg(F.max("w")).first()[0]
+
+    def _kept(self, name: str, part: int, schema: T.StructType) -> DataFrame:
+        if part < 0:
+            return self.spark.createDataFrame([], schema)
+        return _read(self.spark, self.path(name, part), schema)
+
+    def batch(self, asks: DataFrame, part: int) -> None:
+        """Judges what batch ``part`` closes. A repeated batch overwrites only its own parts."""
+        asks = asks.select(self.key, self.asked_at, self.order_id)
+        time, closed = self._time(asks.schema), self._clock(part - 1)
+        if closed is not None:
+            # a request without a time is never late
+            late = F.coalesce(time <= closed, F.lit(False))
+            asks.where(late).write.mode("overwrite").parquet(self.path("late", part))
+            asks = asks.where(~late)
+        waiting = self._kept("open", part - 1, asks.schema).unionByName(asks)
+        newest = waiting.agg(F.max(time)).first()[0]
+        mark = max([x for x in (closed, None if newest is None else newest - self.lateness) if x is not None], default=None)
+        due = F.lit(False) if mark is None else F.coalesce(time <= mark, F.lit(True))
+        self._judge(waiting.where(due), part - 1, part, mark)
+        waiting.where(~due).write.mode("overwrite").parquet(self.path("open", part))
+        self.spark.createDataFrame([(mark,)], "w long").write.mode("overwrite").parquet(self.path("clock", part))
+
+    def finish(self, last: int, schema: T.StructType) -> None:
+        """Judges the requests still open after batch ``last``, when the stream has ended."""
+        fields = [schema[c] for c in (self.key, self.asked_at, self.order_id)]
+        self._judge(self._kept("open", last, T.StructType(fields)), last, FINAL, None)
 
-    def judge(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        parts = [(b["_t"].to_numpy(), b[order_id].to_numpy()) for b in batches]
-        times, ids = (np.concatenate(column) for column in zip(*parts))
-        order = np.lexsort((ids, times))
-        times, ids = times[order], ids[order]
-        expires = state.get[0] if state.exists else None
-        hits = []
-        for t in times.tolist():
-            hit = expires is not None and t < expires
-            if not hit:
-                expires = t + ttl
-            hits.append(hit)
-        state.update((expires,))
-        state.setTimeoutTimestamp(max(expires // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({key: group[0], order_id: ids, "_t": times, "hit": hits})
-
-    return (
-        timed.groupBy(key)
-        .applyInPandasWithState(
-            judge, schema, "expires bigint", "append", GroupStateTimeout.EventTimeTimeout
+    def _time(self, schema: T.StructType) -> Column:
+        return micros(F.col(self.asked_at), isinstance(schema[self.asked_at].dataType, T.TimestampNTZType))
+
+    def _judge(self, due: DataFrame, before: int, part: object, mark: int | None) -> None:
+        """Replays ``due`` after the last misses of ``before``; a key's last miss is its first request here."""
+        old = self._kept("misses", before, T.StructType([f for f in due.schema.fields if f.name != self.order_id]))
+        seeded = old.withColumn("_seed", F.lit(True)).unionByName(
+            due.withColumn("_seed", F.lit(False)), allowMissingColumns=True
+        )
+        judged = replay(seeded.select(*due.columns, "_seed"), self.key, self.asked_at, self.order_id, self.ttl, first="_seed")
+        fresh = judged.where("NOT _seed").drop("_seed")
+        fresh.write.mode("overwrite").parquet(self.path("hits", part))
+        missed = self.spark.read.schema(fresh.schema).parquet(self.path("hits", part)).where("NOT hit")
+        last = missed.select(self.key, self.asked_at).unionByName(old).groupBy(self.key).agg(
+            F.max(self.asked_at).alias(self.asked_at)
         )
-        .drop("_t")
+        live = F.lit(True) if mark is None else self._time(due.schema) + self.ttl * 1_000_000 > mark
+        last.where(live).write.mode("overwrite").parquet(self.path("misses", part))
+
+
+def replay_stream(asks: DataFrame, stream: CacheStream, checkpoint: str, finish: bool = True) -> StreamingQuery:
+    """Works off the requests that are there; with ``finish`` the open ones are judged at the end.
+
+    Read the result with :func:`judged` and what came too late with :func:`late`.
+    """
+    last = [-1]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        stream.batch(batch, batch_id)
+        last[0] = batch_id
+
+    query = (
+        asks.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+    query.awaitTermination()
+    if finish and last[0] >= 0:
+        stream.finish(last[0], asks.schema)
+    return query
+
+
+def judged(spark: SparkSession, root: str) -> DataFrame:
+    """Every judged request with ``hit``."""
+    return spark.read.parquet(os.path.join(root, "hits")).drop("part")
+
+
+def late(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The requests that arrived behind the watermark."""
+    return _read(spark, os.path.join(root, "late"), schema)

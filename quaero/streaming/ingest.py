@@ -10,25 +10,30 @@ from quaero.plans.ingest import build_collection
 from quaero.sources.collection import lay_out
 
 
-def ingest_batch(documents: DataFrame, root: str, batch_id: int, **options) -> None:
+def ingest_batch(documents: DataFrame, root: str, batch_id: int, key: str = "doc_key", **options) -> None:
     """Chunk, embed and store one batch under its own folders; a retry overwrites only those.
 
-    Nothing stored earlier is rewritten: a changed source simply appears again
-    with a higher batch number.
+    ``key`` names the document: a later version has the same key. Nothing stored
+    earlier is rewritten: a changed document appears again with a later
+    ``modified_at`` (if the table has it) or a higher batch number. Of several
+    versions in one batch the latest counts; of equal ones, one.
     """
-    build_collection(lay_out(documents), **options).write.mode("overwrite").parquet(
-        f"{root}/chunks/batch_id={batch_id}"
-    )
-    documents.select("source").distinct().write.mode("overwrite").parquet(
-        f"{root}/sources/batch_id={batch_id}"
-    )
-
-
-def ingest_stream(documents: DataFrame, root: str, checkpoint: str, **options) -> StreamingQuery:
+    dated = F.col("modified_at").cast("timestamp") if "modified_at" in documents.columns else F.lit(None).cast("timestamp")
+    rest = [c for c in documents.columns if c != key]
+    newest = documents.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(dated.alias("m"), F.xxhash64(*rest))).alias("_d"))
+    newest = newest.select(key, "_d.*")
+    build_collection(lay_out(newest), **options).write.mode("overwrite").parquet(f"{root}/chunks/batch_id={batch_id}")
+    log = documents.groupBy(key).agg(F.max(dated).alias("modified_at"))
+    log.write.mode("overwrite").parquet(f"{root}/documents/batch_id={batch_id}")
+
+
+def ingest_stream(
+    documents: DataFrame, root: str, checkpoint: str, key: str = "doc_key", **options
+) -> StreamingQuery:
     """Make new documents searchable as they arrive."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, root, batch_id, **options)
+        ingest_batch(batch, root, batch_id, key, **options)
 
     return (
         documents.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
@@ -36,19 +41,20 @@ def ingest_stream(documents: DataFrame, root: str, checkpoint: str, **options) -
     )
 
 
-def current_chunks(spark: SparkSession, root: str, listing: DataFrame | None = None) -> DataFrame:
-    """Chunks of the latest batch of every source.
+def current_chunks(
+    spark: SparkSession, root: str, listing: DataFrame | None = None, key: str = "doc_key"
+) -> DataFrame:
+    """Chunks of the latest version of every document.
 
-    With ``listing``, a table of the sources that still exist, removed ones are
-    left out. The right sides have one row per source, so a source with very many
-    chunks is a skewed left side, which AQE splits.
+    With ``listing``, a table of the keys that still exist, removed documents are
+    left out. The right sides have one row per document, so a document with very
+    many chunks is a skewed left side, which AQE splits.
     """
-    latest = (
-        spark.read.parquet(f"{root}/sources").groupBy("source").agg(F.max("batch_id").alias("batch_id"))
-    )
+    log = spark.read.parquet(f"{root}/documents")
+    latest = log.groupBy(key).agg(F.max_by("batch_id", F.struct("modified_at", "batch_id")).alias("batch_id"))
     if listing is not None:
-        latest = latest.join(listing.select("source").distinct(), "source", "left_semi")
-    return spark.read.parquet(f"{root}/chunks").join(latest, ["source", "batch_id"]).drop("batch_id")
+        latest = latest.join(listing.select(key).distinct(), key, "left_semi")
+    return spark.read.parquet(f"{root}/chunks").join(latest, [key, "batch_id"]).drop("batch_id")
 
 
 def new_or_changed(files: DataFrame, known: DataFrame) -> DataFrame:

@@ -91,3 +91,22 @@ def test_globs_match_as_expected(spark, pattern):
 def test_negated_set(spark):
     df = spark.createDataFrame([("ab",), ("cb",)], "cache_key string")
     assert [r[0] for r in df.where(cache.matches_glob(F.col("cache_key"), "[^a]b", "")).collect()] == ["cb"]
+
+
+def test_both_routes_agree_on_nulls_and_repeats(spark):
+    at = lambda s: None if s is None else T0 + dt.timedelta(seconds=s)
+    rows = [("k", at(5), 5), ("k", at(5), 5), ("k", at(5), None), ("k", None, 1), ("k", None, None), (None, at(1), 1)]
+    rows += [(None, at(2), 2), (None, at(1), 1), ("k", at(3700), 7), ("k", at(3700), 7)]
+    df = spark.createDataFrame(rows, "cache_key string, asked_at timestamp, ask_id bigint")
+    ways = [
+        sorted(map(str, cache.replay(df, hot_key_rows=hot).collect())) for hot in (1_000_000, 0)
+    ]
+    assert ways[0] == ways[1]
+    missed = [tuple(r) for r in cache.replay(df).where("NOT hit").collect()]
+    expected = [("k", None, 1), ("k", None, None), ("k", at(5), None), ("k", at(3700), 7), (None, at(1), 1)]
+    assert sorted(map(str, [m[:3] for m in missed])) == sorted(map(str, expected))
+
+
+def test_a_wrong_date_does_not_widen_windows(spark):
+    rows = [("k", float(s)) for s in range(0, 9000, 30)] + [("k", 3e9)]
+    assert hits(cache.replay(log(spark, rows), ttl_seconds=60, hot_key_rows=0)) == walk(rows, 60)

@@ -130,3 +130,28 @@ def test_audit_log(spark, tmp_path):
         store.append_audit(rows, str(tmp_path / "audit"))
     back = spark.read.parquet(str(tmp_path / "audit"))
     assert back.count() == 4 and back.select("date").distinct().count() == 2
+
+
+def test_quarantine_names_every_file(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "1.xml").write_text("<Document><QAPairs>", encoding="utf-8")
+        (tmp_path / folder / "labels.json").write_text("[1, 2", encoding="utf-8")
+    (tmp_path / "a" / "good.json").write_text('{"7": "yes"}', encoding="utf-8")
+    _, broken = src.load_corpus(spark, str(tmp_path))
+    assert sorted(r.path.split("/")[-2:] for r in broken.collect()) == [["a", "1.xml"], ["b", "1.xml"]]
+    assert src.json_quarantine(spark, str(tmp_path)).count() == 2
+    assert [tuple(r) for r in src.read_label_map(spark, str(tmp_path)).collect()] == [("7", "yes")]
+
+
+def test_half_written_version_and_two_writers(spark, tmp_path):
+    path = str(tmp_path / "store")
+    df = spark.createDataFrame([("a", 0, "x")], "source string, chunk_no int, page_content string")
+    df.write.parquet(f"{path}/version=dead")  # a build that died before its pointer
+    assert store.open_or_build(spark, path, lambda: df).count() == 1
+    store._write_version(df.unionAll(df), path)
+    store._write_version(df.unionAll(df).unionAll(df), path)
+    assert store.open_collection(spark, path).count() == 3
+    assert store.expire_versions(spark, path, older_than_seconds=3600) == 0
+    assert store.expire_versions(spark, path, older_than_seconds=-60) == 3
+    assert store.open_collection(spark, path).count() == 3

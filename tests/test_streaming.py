@@ -1,13 +1,15 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quaero.functions.vectors import hash_embed
 from quaero.operators import cache
 from quaero.plans.answer import prepare_questions
 from quaero.streaming import feed, ingest
-from quaero.streaming.cache import replay_stream
+from quaero.streaming.cache import CacheStream, judged, late, replay_stream
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -19,18 +21,46 @@ def files(spark, df, folder, parts):
     return f"{folder}/*"
 
 
-def test_cache_state_lives_across_batches(spark, tmp_path):
+def feed_of(spark, rows, kind, folder, per_batch):
+    """Ten files in the order of the rows, ``per_batch`` of them in a micro-batch."""
+    size = -(-len(rows) // 10)
+    df = spark.createDataFrame([(*r, i // size) for i, r in enumerate(rows)], f"{kind}, part int")
+    glob = files(spark, df, folder, 10)
+    return spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", per_batch).parquet(glob)
+
+
+ASKS = "cache_key string, asked_at timestamp, ask_id bigint"
+
+
+@pytest.mark.parametrize("per_batch, shuffled", [(1, True), (4, True), (100, True), (1, False)])
+def test_cache_stream_equals_batch(spark, tmp_path, per_batch, shuffled):
     rng = random.Random(4)
-    seconds = sorted(rng.randrange(30_000) for _ in range(400))
-    rows = [(f"k{rng.randrange(6)}", T0 + dt.timedelta(seconds=s), i, i // 100) for i, s in enumerate(seconds)]
-    df = spark.createDataFrame(rows, "cache_key string, asked_at timestamp, ask_id bigint, part int")
-    glob = files(spark, df, str(tmp_path / "in"), 4)
-    stream = spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(glob)
-    query = feed.write_rows(replay_stream(stream), str(tmp_path / "out"), str(tmp_path / "progress"))
-    query.awaitTermination()
-    got = {r.ask_id: r.hit for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    expected = {r.ask_id: r.hit for r in cache.replay(df.drop("part")).collect()}
-    assert got == expected and True in got.values() and False in got.values()
+    seconds = sorted(rng.randrange(30_000) for _ in range(300))
+    rows = [(f"k{rng.randrange(6)}", T0 + dt.timedelta(seconds=s), i) for i, s in enumerate(seconds)]
+    if shuffled:  # arrival up to 500 s late, within the lateness of 600 s
+        rows.sort(key=lambda r: r[1] + dt.timedelta(seconds=rng.randrange(500)))
+    stream = CacheStream(spark, str(tmp_path / "out"))
+    replay_stream(feed_of(spark, rows, ASKS, str(tmp_path / "in"), per_batch), stream, str(tmp_path / "progress"))
+    batch = cache.replay(spark.createDataFrame(rows, ASKS))
+    got = {r.ask_id: r.hit for r in judged(spark, stream.root).collect()}
+    assert got == {r.ask_id: r.hit for r in batch.collect()} and {True, False} == set(got.values())
+    assert late(spark, stream.root, batch.drop("hit").schema).count() == 0
+
+
+def test_late_requests_are_kept_apart(spark, tmp_path):
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    rows = [("k", at(10_000), 0)] * 1 + [("k", at(20_000), 1), ("k", at(100), 2), ("k", at(20_001), 3), ("j", at(50), 4)]
+    stream = CacheStream(spark, str(tmp_path / "out"))
+    feed_ = feed_of(spark, rows * 1, ASKS, str(tmp_path / "in"), 1)
+    replay_stream(feed_, stream, str(tmp_path / "progress"))
+    assert {(r.ask_id, r.hit) for r in judged(spark, stream.root).collect()} == {(0, False), (1, False), (3, True)}
+    schema = spark.createDataFrame([], ASKS).schema
+    assert {r.ask_id for r in late(spark, stream.root, schema).collect()} == {2, 4}
+    # a batch that is run again changes nothing
+    again = spark.createDataFrame(rows[2:3], ASKS)
+    before = judged(spark, stream.root).count()
+    stream.batch(again, 2)
+    assert judged(spark, stream.root).count() == before
 
 
 def test_screening_stream_equals_batch(spark, tmp_path):
@@ -56,31 +86,41 @@ def test_answers_are_written_once_per_batch(spark, tmp_path):
     assert {(r.question_id, r.hallucination_check) for r in rows} == {(1, "valid"), (2, "validation_error")}
 
 
-def test_repeated_questions_are_dropped(spark, tmp_path):
-    rows = [("q1", T0, 0), ("q1", T0, 0), ("q2", T0, 1), ("q1", T0, 1)]
-    df = spark.createDataFrame(rows, "question_id string, asked_at timestamp, part int")
-    glob = files(spark, df, str(tmp_path / "in"), 2)
-    stream = spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(glob)
-    feed.write_rows(feed.drop_repeats(stream), str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
-    assert sorted(r.question_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["q1", "q2"]
+@pytest.mark.parametrize("per_batch", [1, 2, 100])
+def test_repeated_questions_are_dropped(spark, tmp_path, per_batch):
+    rng = random.Random(7)
+    rows = [(f"q{rng.randrange(5)}", T0 + dt.timedelta(seconds=200 * i), i) for i in range(60)]
+    kind = "question_id string, asked_at timestamp, ask_id bigint"
+    stream = feed_of(spark, rows, kind, str(tmp_path / "in"), per_batch)
+    kept = feed.drop_repeats(stream, str(tmp_path / "out"), str(tmp_path / "progress"))
+    last, expected = {}, set()
+    for key, t, i in rows:
+        if key not in last or t - last[key] >= dt.timedelta(hours=1):
+            last[key] = t
+            expected.add(i)
+    assert {r.ask_id for r in kept.collect()} == expected
 
 
-def test_changed_and_removed_sources(spark, tmp_path):
+@pytest.mark.parametrize("per_batch", [1, 2])
+def test_changed_and_removed_documents(spark, tmp_path, per_batch):
     root = str(tmp_path / "chunks")
-    rows = [("a", "first text of a", 0), ("b", "text of b " * 200, 0), ("a", "second text of a", 1), ("c", "c", 1)]
-    df = spark.createDataFrame(rows, "source string, page_content string, part int")
+    # two documents share a source; b changes later but its older version arrives last
+    rows = [("a/1", "1.xml", "first text of a", 0, 0), ("b/1", "1.xml", "text of b " * 200, 5, 0)]
+    rows += [("a/1", "1.xml", "second text of a", 1, 1), ("c", "c", "c", 0, 1), ("b/1", "1.xml", "older b", 3, 1)]
+    rows = [(k, s, t, T0 + dt.timedelta(days=d), p) for k, s, t, d, p in rows]
+    df = spark.createDataFrame(rows, "doc_key string, source string, page_content string, modified_at timestamp, part int")
     glob = files(spark, df, str(tmp_path / "in"), 2)
-    stream = spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(glob)
+    stream = spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", per_batch).parquet(glob)
     ingest.ingest_stream(stream, root, str(tmp_path / "progress")).awaitTermination()
     now = ingest.current_chunks(spark, root)
-    assert {r.page_content for r in now.where("source = 'a'").collect()} == {"second text of a"}
-    assert now.where("source = 'b'").count() > 1
-    # a repeated batch leaves no duplicates
-    before = now.count()
-    ingest.ingest_batch(df.where("part = 1").drop("part"), root, 1)
-    assert ingest.current_chunks(spark, root).count() == before
-    listing = spark.createDataFrame([("a",), ("c",)], "source string")
-    assert {r.source for r in ingest.current_chunks(spark, root, listing).collect()} == {"a", "c"}
+    assert {r.page_content for r in now.where("doc_key = 'a/1'").collect()} == {"second text of a"}
+    assert now.where("doc_key = 'b/1'").count() > 1
+    listing = spark.createDataFrame([("a/1",), ("c",)], "doc_key string")
+    assert {r.doc_key for r in ingest.current_chunks(spark, root, listing).collect()} == {"a/1", "c"}
+    if per_batch == 1:  # a repeated batch leaves no duplicates
+        before = now.count()
+        ingest.ingest_batch(df.where("part = 1").drop("part"), root, 1)
+        assert ingest.current_chunks(spark, root).count() == before
 
 
 def test_new_or_changed_files(spark):
