@@ -5,7 +5,8 @@ bounded block of each side, scores it as a matrix product and keeps only the k
 best per question. Two exact routes lead there:
 
 * *scan*: the questions are few enough (checked by count and bytes) to go to
-  every executor; the corpus is read in place and never shuffled.
+  every executor; the corpus is read in place and never shuffled. More questions
+  go in slices of that size, one pass over the corpus each.
 * *cells*: each corpus vector is tied to its nearest pivot. The triangle
   inequality bounds how far a question's k-th neighbour can be, so a question
   visits only the cells that can still hold a neighbour. Crowded cells and
@@ -21,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,6 @@ QUESTION_BLOCK_ROWS = 8192  # questions that meet one corpus block
 SLICE_ROWS = 512  # questions per matrix product inside a task
 MAX_PIVOTS = 1024
 MAX_BROADCAST_BYTES = 64 << 20
-MAX_SCAN_ROWS = 200_000_000  # partial results the scan may shuffle at any rate
 SCAN_PARTITION_BYTES = 32 << 20  # vectors in one corpus partition, estimated low
 PAIR_ROWS = 20_000  # candidate pairs scored at a time
 _SLACK = 1e-7  # widens every bound relative to the vectors' length, far above rounding error
@@ -167,23 +168,29 @@ def _longest(df: DataFrame) -> int:
     return df.agg(F.max(F.size("vector"))).first()[0] or 0
 
 
-def _rank(hits: DataFrame, k: int, metric: Metric) -> DataFrame:
-    """Merge block results. The rank limit runs before the shuffle as well."""
+def _rank(hits: DataFrame, k: int, metric: Metric, merges: int = 1) -> DataFrame:
+    """Merge block results. The rank limit runs before the shuffle as well.
+
+    With ``merges`` above 1 the hits of a question first meet in so many parts, so
+    that no task gets k rows from every partition of a large corpus.
+    """
     score = F.col("score").asc() if metric.ascending else F.col("score").desc()
-    order = Window.partitionBy("question_id").orderBy(score, F.col("corpus_id").asc())
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = lambda keys: F.row_number().over(
+        Window.partitionBy(*keys).orderBy(score, F.col("corpus_id").asc())
+    )
+    if merges > 1:
+        parted = hits.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(merges)))
+        hits = parted.withColumn("rank", best(["question_id", "_part"])).where(F.col("rank") <= k).drop("rank", "_part")
+    return hits.withColumn("rank", best(["question_id"])).where(F.col("rank") <= k)
 
 
 def pick_route(n_asked: int, n_stored: int, k: int, dims: int) -> str:
-    """Scan while the questions fit the executors and the partial results stay small.
+    """One scan while the questions fit the executors, otherwise a scan for each slice that does.
 
-    A scan shuffles k hits per question and corpus partition, the cells shuffle
-    the corpus itself; so hits may grow up to a share of the corpus rows.
+    Both read the corpus in place. The cells shuffle all vectors and prune only
+    where the data have few true dimensions, so they run only when asked for.
     """
-    fits = n_asked * (dims + 2) * 8 <= MAX_BROADCAST_BYTES
-    partitions = 1 + n_stored * dims * 4 // SCAN_PARTITION_BYTES
-    few = n_asked * k * partitions <= max(MAX_SCAN_ROWS, n_stored // 8)
-    return "scan" if fits and few else "cells"
+    return "scan" if n_asked * (dims + 2) * 8 <= MAX_BROADCAST_BYTES else "passes"
 
 
 def topk(
@@ -199,12 +206,14 @@ def topk(
     skip_same_id: bool = False,
     dims: int | None = None,
     route: str | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Exact k nearest corpus rows of every question: ``(question_id, corpus_id, score, rank)``.
 
     ``where`` restricts the corpus before anything is scored. ``dims`` is the
     longest vector on either side; giving it spares a scan of both tables.
-    ``route`` forces ``"scan"`` or ``"cells"``; by default the checked sizes decide.
+    ``route`` forces ``"passes"`` or ``"cells"``; by default the checked sizes decide,
+    and a forced ``"scan"`` of too many questions is cut into passes as well.
     """
     kind = METRICS[metric]
     if where is not None:
@@ -219,11 +228,16 @@ def topk(
         empty = questions.sparkSession.createDataFrame([], schema)
         return empty.withColumn("rank", F.lit(1))
     route = route or pick_route(n_asked, n_stored, k, dims)
-    if route == "scan":
-        hits = _scan(asked, stored, k, kind, dims, schema, skip_same_id)
-    else:
-        hits = _cells(asked, stored, n_stored, k, kind, dims, schema, skip_same_id)
-    return _rank(hits, k, kind)
+    if route == "cells":
+        return _rank(_cells(asked, stored, n_stored, k, kind, dims, schema, skip_same_id), k, kind)
+    passes = max(1, math.ceil(n_asked * (dims + 2) * 8 / max_broadcast_bytes))
+    slice_no = F.pmod(F.xxhash64("id"), F.lit(passes))
+    parts = [
+        _scan(asked.where(slice_no == i) if passes > 1 else asked, stored, k, kind, dims, schema, skip_same_id)
+        for i in range(passes)
+    ]
+    merges = math.isqrt(1 + n_stored * dims * 4 // SCAN_PARTITION_BYTES)
+    return _rank(reduce(DataFrame.unionAll, parts), k, kind, merges)
 
 
 def _scan(

@@ -1,19 +1,17 @@
 """Stratified folds and exact-size random splits in a reproducible hash order.
 
-No step sorts a whole label or table in one task. Rows are dealt into hash
-buckets; a rank is the bucket's offset (a sum over counts) plus the rank inside
-the bucket, so three labels, or one, spread as evenly as the ids themselves.
+No step sorts or moves rows. The boundaries between folds are places in the hash
+order; counts of hash prefixes find them, and row-wise expressions compare with them.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaero.session import materialize
-
 ROWS_PER_BUCKET = 100_000
 FOLDS = 10
 TRAIN_ROWS = 200_000
@@ -28,7 +26,11 @@ def hash_order(id_col: Column, seed: int | str) -> Column:
 def stratum_rank(
     df: DataFrame, id_col: str, stratum: str, seed: int | str = 0, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
-    """Add ``rank`` (from 1, in hash order) and ``stratum_size`` within each stratum."""
+    """Add ``rank`` (from 1, in hash order) and ``stratum_size`` within each stratum.
+
+    Rows are dealt into hash buckets; a rank is the bucket's offset (a sum over
+    counts) plus the rank inside the bucket, so no task gets a whole stratum.
+    """
     buckets = max(1, math.ceil(df.count() / rows_per_bucket))
     leading = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint")
     placed = df.withColumn("_h", hash_order(F.col(id_col), seed)).withColumn(
@@ -53,23 +55,71 @@ def stratum_rank(
     )
 
 
+def _edges(
+    df: DataFrame, id_col: str, stratum: str, ranks: Callable[[int], list[int]], seed: int | str, few: int
+) -> dict[object, list[tuple[str, object]]]:
+    """For each stratum the (hash, id) of the rows at the given ranks (from 0) of its hash order.
+
+    ``ranks`` gives the wanted ranks for a stratum's size. Each step counts hash
+    prefixes, at most 65,536 per stratum and open boundary; rows never move. Once at
+    most ``few`` rows share a prefix, they are fetched.
+    """
+    hashed = df.select(
+        F.col(stratum).alias("s"), F.col(id_col).alias("id"), hash_order(F.col(id_col), seed).alias("h")
+    )
+    sizes = {r.s: r["count"] for r in hashed.groupBy("s").count().collect()}
+    # open boundaries: (stratum, place among its ranks) -> prefix so far, rank inside it, rows with it
+    open_at = {
+        (s, i): ("", rank, n) for s, n in sizes.items() for i, rank in enumerate(ranks(n)) if rank < n
+    }
+    done: dict[tuple[object, int], tuple[str, object]] = {}
+    while open_at:
+        length = len(next(iter(open_at.values()))[0])
+        wanted = sorted({p for p, _, _ in open_at.values()})
+        inside = hashed.where(F.substring("h", 1, length).isin(wanted)) if length else hashed
+        if length >= 32 or all(n <= few for _, _, n in open_at.values()):
+            rows: dict[tuple[object, str], list] = {}
+            for r in inside.collect():  # at most ``few`` rows per boundary
+                rows.setdefault((r.s, r.h[:length]), []).append((r.h, r.id))
+            for (s, i), (prefix, rank, _) in open_at.items():
+                done[s, i] = sorted(rows[s, prefix])[rank]
+            break
+        counts: dict[object, list] = {}
+        for r in inside.groupBy("s", F.substring("h", 1, length + _DIGITS).alias("p")).count().collect():
+            counts.setdefault(r.s, []).append((r.p, r["count"]))
+        for key, (prefix, rank, _) in open_at.items():
+            for p, n in sorted(x for x in counts[key[0]] if x[0].startswith(prefix)):
+                if rank < n:
+                    open_at[key] = (p, rank, n)
+                    break
+                rank -= n
+    return {s: [done[s, i] for i in range(len(ranks(n))) if (s, i) in done] for s, n in sizes.items()}
+
+
 def stratified_folds(
     df: DataFrame, id_col: str, label: str, k: int, seed: int | str = 0,
-    rebalance: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET,
+    rebalance: bool = True, rows_per_bucket: int = _SMALL,
 ) -> DataFrame:
     """Add ``fold`` (0..k-1). Each label is cut into k consecutive blocks of equal size.
 
     Blocks hold ceil(n / k) rows and the last one the rest. If the last fold then
     differs in size from the first, one row of each other fold moves to the last.
+    Labels are few, as in classification; the boundaries between their blocks are
+    found by counting, and an expression says on which side a row lies. So the
+    rows are neither shuffled nor copied.
     """
-    ranked = stratum_rank(df, id_col, label, seed, rows_per_bucket)
-    block = F.ceil(F.col("stratum_size") / k)
-    folded = ranked.withColumn(
-        "fold", F.least(F.floor((F.col("rank") - 1) / block), F.lit(k - 1)).cast("int")
-    ).drop("rank", "stratum_size")
+    edges = _edges(df, id_col, label, lambda n: [j * math.ceil(n / k) for j in range(1, k)], seed, rows_per_bucket)
+    here = F.struct(hash_order(F.col(id_col), seed).alias("h"), F.col(id_col).alias("id"))
+    fold = F.lit(0)
+    for value, rows in edges.items():
+        passed = F.lit(0)
+        for h, row_id in rows:
+            edge = F.struct(F.lit(h).alias("h"), F.lit(row_id).cast(df.schema[id_col].dataType).alias("id"))
+            passed = passed + (here >= edge).cast("int")
+        fold = F.when(F.col(label).eqNullSafe(F.lit(value)), passed).otherwise(fold)
+    folded = df.withColumn("fold", fold.cast("int"))
     if not rebalance:
         return folded
-    folded = materialize(folded, "folds")
     # k rows: the size of each fold and its lowest row in a second hash order
     pick = F.struct(hash_order(F.col(id_col), f"{seed}-move"), F.col(id_col))
     summary = folded.groupBy("fold").agg(

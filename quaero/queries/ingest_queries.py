@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaero.functions import text as tx
@@ -46,9 +46,7 @@ _SQL_QA_TEXT = (
 SQL_QA = f"WITH {_SQL_PAIRS} SELECT id AS question_id, {_SQL_QA_TEXT} AS page_content FROM pairs"
 
 
-def qa_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pairs written as QA XML files, then read, exploded and assembled by the reader."""
-    path = scratch(spark, "qa-xml")
+def _write_qa_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     pair = F.struct(
         F.col("question_id").cast("string").alias("_pid"),
         F.struct(F.col("question").alias("_VALUE"), F.lit("information").alias("_qtype")).alias("Question"),
@@ -59,6 +57,12 @@ def qa_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(FOCUS).alias("Focus"), F.struct(F.array(pair).alias("QAPair")).alias("QAPairs"),
     )
     files.write.option("rowTag", "Document").option("rootTag", "Documents").xml(path)
+
+
+def qa_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs written as QA XML files, then read, exploded and assembled by the reader."""
+    path = scratch(spark, "qa-xml")
+    _write_qa_xml(spark, sf_dir, path)
     good, _ = src.read_qa_xml(spark, path)
     return src.qa_documents(src.explode_qa(good)).select(
         F.col("original_id").cast("bigint").alias("question_id"), "page_content", "focus", "type", "qtype"
@@ -71,9 +75,7 @@ SELECT id AS question_id, {_SQL_QA_TEXT} AS page_content, '{FOCUS}' AS focus, 'm
        'information' AS qtype FROM pairs"""
 
 
-def protocol_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written as protocol XML, then read back as one row per section."""
-    path = scratch(spark, "protocol-xml")
+def _write_protocol_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
     section = F.struct(F.col("lang").alias("Name"), F.col("text").alias("Text"))
     files = spread(table(spark, sf_dir, "documents")).select(
         F.struct(
@@ -84,6 +86,12 @@ def protocol_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.array(section).alias("Section")).alias("Content"),
     )
     files.write.option("rowTag", "Protocol").option("rootTag", "Protocols").xml(path)
+
+
+def protocol_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as protocol XML, then read back as one row per section."""
+    path = scratch(spark, "protocol-xml")
+    _write_protocol_xml(spark, sf_dir, path)
     sections, _ = src.read_protocol_xml(spark, path)
     return sections.select(
         F.col("protocol_id").cast("bigint").alias("doc_id"), "title", "specialty", "section", "text",
@@ -206,7 +214,88 @@ SELECT lang, source, count(*) AS documents, round(avg(length(text)), 6) AS mean_
        grouping(lang, source)::BIGINT AS level
 FROM documents GROUP BY ROLLUP (lang, source)"""
 
+def load_corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder tree of both kinds of XML, with pages as extracted texts, loaded in one layout."""
+    root = scratch(spark, "corpus")
+    _write_qa_xml(spark, sf_dir, f"{root}/qa")
+    _write_protocol_xml(spark, sf_dir, f"{root}/protocols")
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("html").alias("page_content"), F.col("url").alias("original_id"), F.lit("page").alias("type")
+    )
+    documents, _ = src.load_corpus(spark, root, pages)
+    return documents.select("type", "focus", "original_id", F.md5("page_content").alias("content_md5"))
+
+
+SQL_LOAD = f"""
+WITH {_SQL_PAIRS}
+SELECT 'medquad_xml' AS type, '{FOCUS}' AS focus, id::VARCHAR AS original_id, md5({_SQL_QA_TEXT}) AS content_md5 FROM pairs
+UNION ALL SELECT 'protocol_xml', lang, doc_id::VARCHAR,
+  md5('Topic: ' || source || chr(10) || 'Section: ' || lang || chr(10) || text) FROM documents
+UNION ALL SELECT 'page', NULL, url, md5(html) FROM pages"""
+
+
+def _write_json(spark: SparkSession, sf_dir: str, path: str, value: Column, broken: bool = False) -> None:
+    """The labels as JSON objects by id, one file for every remainder of the id; with ``broken`` one file is cut off."""
+    rows = table(spark, sf_dir, "labels").withColumn("part", F.col("doc_id") % 7)
+    entry = F.struct(F.col("doc_id").cast("string"), value)
+    objects = rows.groupBy("part").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    if broken:
+        cut = F.expr("substring(value, 1, length(value) - 1)")
+        objects = objects.withColumn("value", F.when(F.col("part") == 3, cut).otherwise(F.col("value")))
+    objects.write.partitionBy("part").text(path)
+
+
+def label_map_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "label-map")
+    _write_json(spark, sf_dir, path, _label("quality"))
+    return src.read_label_map(spark, path, "*.txt")
+
+
+def _label(column: str) -> Column:
+    return F.when(F.col(column) == 1, "yes").otherwise("no")
+
+
+SQL_LABEL_MAP = "SELECT doc_id::VARCHAR AS id, CASE WHEN quality = 1 THEN 'yes' ELSE 'no' END AS label FROM labels"
+
+
+def labelled_set_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with some fields missing."""
+    path = scratch(spark, "labelled-set")
+    record = F.struct(
+        _label("quality").alias("final_decision"),
+        F.when(F.col("toxic") == 1, "maybe").alias("reasoning_free_pred"),
+    )
+    _write_json(spark, sf_dir, path, record)
+    return src.read_labelled_set(spark, path, "*.txt")
+
+
+SQL_LABELLED_SET = """
+SELECT doc_id::VARCHAR AS id, CASE WHEN quality = 1 THEN 'yes' ELSE 'no' END AS final_decision,
+       CASE WHEN toxic = 1 THEN 'maybe' END AS reasoning_free_pred, NULL::VARCHAR AS reasoning_required_pred
+FROM labels"""
+
+
+def quarantine_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels read from files of which one is cut off in each of two folders: both are named, the rest is read."""
+    root = scratch(spark, "broken")
+    for name in ("a", "b"):
+        _write_json(spark, sf_dir, f"{root}/{name}", _label("quality"), broken=True)
+    read = src.read_label_map(spark, root, "*.txt").agg(F.count(F.lit(1)).alias("n"))
+    named = src.json_quarantine(spark, root, "*.txt").agg(F.count_distinct("path").alias("n"))
+    return read.select(F.lit("read").alias("outcome"), "n").unionByName(
+        named.select(F.lit("quarantined").alias("outcome"), "n")
+    )
+
+
+SQL_QUARANTINE = """
+SELECT 'read' AS outcome, 2 * count(*) FILTER (doc_id % 7 <> 3) AS n FROM labels
+UNION ALL SELECT 'quarantined', 2 * count(DISTINCT doc_id % 7) FILTER (doc_id % 7 = 3) FROM labels"""
+
 QUERIES = {
+    "load_corpus_files": (load_corpus_files, SQL_LOAD),
+    "label_map_files": (label_map_files, SQL_LABEL_MAP),
+    "labelled_set_files": (labelled_set_files, SQL_LABELLED_SET),
+    "quarantine_files": (quarantine_files, SQL_QUARANTINE),
     "qa_assemble": (qa_assemble, SQL_QA),
     "qa_xml_files": (qa_xml_files, SQL_QA_XML),
     "protocol_xml_files": (protocol_xml_files, SQL_PROTOCOL),

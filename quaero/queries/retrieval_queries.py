@@ -65,6 +65,11 @@ def topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ranked(_neighbours(spark, sf_dir, "cosine", route="cells"))
 
 
+def topk_multipass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same result when the questions go to the executors in slices of 128 KB."""
+    return _ranked(_neighbours(spark, sf_dir, "cosine", max_broadcast_bytes=1 << 17))
+
+
 def topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only vectors with certain labels may be found."""
     return _ranked(_neighbours(spark, sf_dir, "cosine", where=F.col("label") >= 5))
@@ -437,6 +442,7 @@ QUERIES = {
     "hash_embed": (embed_documents, SQL_EMBED),
     "topk_cosine": (topk_cosine, SQL_COSINE),
     "topk_cells": (topk_cells, SQL_COSINE),
+    "topk_multipass": (topk_multipass, SQL_COSINE),
     "topk_l2": (topk_l2, SQL_L2),
     "topk_filtered": (topk_filtered, SQL_FILTERED),
     "topk_approx": (topk_approx, SQL_APPROX),

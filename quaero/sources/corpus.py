@@ -169,9 +169,9 @@ def protocol_documents(sections: DataFrame) -> DataFrame:
 # --- keyed JSON ---------------------------------------------------------------------
 
 
-def read_json_files(spark: SparkSession, path: str) -> DataFrame:
+def read_json_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """One row per JSON file: ``value``, ``path`` and ``source``. The format is one object per file."""
-    return _read(spark, "text", path, "value STRING", "*.json", wholetext=True)
+    return _read(spark, "text", path, "value STRING", glob, wholetext=True)
 
 
 def explode_keyed(df: DataFrame, json: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -231,15 +231,15 @@ def read_keyed_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     return explode_keyed(files.select("value", "path", "source"))
 
 
-def read_label_map(spark: SparkSession, path: str) -> DataFrame:
+def read_label_map(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """``{id: label}`` files as ``(id, label)``; see :func:`json_quarantine` for files that are no object."""
-    keyed, _ = explode_keyed(read_json_files(spark, path).select("value", "path", "source"))
+    keyed, _ = explode_keyed(read_json_files(spark, path, glob).select("value", "path", "source"))
     return keyed.select(F.col("key").alias("id"), F.try_variant_get("record", "$", "string").alias("label"))
 
 
-def read_labelled_set(spark: SparkSession, path: str) -> DataFrame:
+def read_labelled_set(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """``{id: {final_decision, ...}}`` files as one row per id with three label columns."""
-    keyed, _ = explode_keyed(read_json_files(spark, path).select("value", "path", "source"))
+    keyed, _ = explode_keyed(read_json_files(spark, path, glob).select("value", "path", "source"))
     return keyed.where(_is_object("record")).select(
         F.col("key").alias("id"),
         *[
@@ -249,9 +249,9 @@ def read_labelled_set(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def json_quarantine(spark: SparkSession, path: str) -> DataFrame:
+def json_quarantine(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """One row per JSON file under ``path`` that does not hold an object."""
-    files = read_json_files(spark, path).select("path", "source", "value")
+    files = read_json_files(spark, path, glob).select("path", "source", "value")
     return explode_keyed(files)[1].select("path", "source", "record")
 
 

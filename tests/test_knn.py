@@ -130,13 +130,26 @@ def test_hash_embedding(spark):
 @pytest.mark.parametrize("asked, stored, route", [
     (100, 10**11, "scan"),        # a few questions never move the corpus
     (2_000, 10_000, "scan"),
-    (100_000, 10**11, "cells"),   # partial results would outgrow the corpus
-    (10**7, 10**6, "cells"),      # the questions do not fit
+    (100_000, 10**11, "scan"),
+    (10**7, 10**6, "passes"),     # the questions do not fit at once
 ])
 def test_route_follows_the_sizes(asked, stored, route):
     assert knn.pick_route(asked, stored, 4, 64) == route
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_passes_are_exact_and_move_no_vectors(spark, metric):
+    rng = np.random.default_rng(12)
+    corpus, questions = rng.normal(size=(300, 8)), rng.normal(size=(60, 8))
+    got = knn.topk(
+        frame(spark, questions, "question_id"), frame(spark, corpus, "corpus_id"), 4, metric, max_broadcast_bytes=800
+    )
+    assert found(got) == brute(questions, corpus, 4, metric)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") > 4
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "vector" in line]
+
+
 @pytest.mark.parametrize("route", ["scan", "cells"])
 def test_copies_of_long_vectors_tie_exactly(spark, route):
     rng = np.random.default_rng(8)
