@@ -26,7 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -468,3 +468,81 @@ def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:
         F.count("found").alias("found_hits"),
         (F.count("found") / F.count(F.lit(1))).alias("recall"),
     )
+
+
+# --- stored index ------------------------------------------------------------------
+
+
+def build_index(
+    corpus: DataFrame, path: str, metric: str = "l2", pivots: int | None = None,
+    corpus_id: str = "corpus_id", corpus_vector: str = "embedding", dims: int | None = None,
+) -> None:
+    """Store the corpus vectors by their nearest pivot, and the pivots, below ``path``.
+
+    The number of pivots grows with the root of the corpus up to ``MAX_PIVOTS``,
+    unless it is given. Vectors are written once; every search reopens them. The
+    pivots are written last, so a build that died is simply no index yet.
+    """
+    kind, stored = METRICS[metric], _side(corpus, corpus_id, corpus_vector).where(F.col("vector").isNotNull())
+    dims = dims or _longest(stored)
+    count = pivots or min(MAX_PIVOTS, max(1, math.isqrt(stored.count())))
+    centres = choose_pivots(stored, count, kind, dims)
+    _with_cell(stored, centres, kind, dims).select("id", "vector", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
+    filled = corpus.sparkSession.read.parquet(f"{path}/cells").groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    rows = [(i, row.tolist(), dims, metric) for i, row in enumerate(centres)]  # one row per pivot
+    table = corpus.sparkSession.createDataFrame(rows, "cell int, pivot array<double>, dims int, metric string")
+    table.join(filled, "cell", "left").coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
+
+
+class Index:
+    """An opened index: the pivots in memory, the vectors where they are stored."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        pivots = spark.read.parquet(f"{path}/pivots").toPandas().sort_values("cell")
+        self.cells = spark.read.parquet(f"{path}/cells")
+        self.metric, self.dims = METRICS[pivots["metric"].iloc[0]], int(pivots["dims"].iloc[0])
+        self.pivots, self.filled = np.stack(pivots["pivot"].to_list()), pivots[pivots["n"].notna()][["cell"]]
+
+    def search(
+        self, questions: DataFrame, k: int = DEFAULT_K, probes: int = 4, question_id: str = "question_id",
+        question_vector: str = "embedding", skip_same_id: bool = False, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    ) -> DataFrame:
+        """The k nearest rows of each question among its ``probes`` nearest cells; nothing is written.
+
+        Questions go to the executors in slices of a checked size, and only the cells
+        some question of the slice visits are read.
+        """
+        asked = _side(questions, question_id, question_vector).where(F.col("vector").isNotNull())
+        passes = max(1, math.ceil(questions.count() * (self.dims + 2) * 8 / max_broadcast_bytes))
+        slice_no = F.pmod(F.xxhash64("id"), F.lit(passes))
+        schema = _hit_schema(questions.schema[question_id].dataType, self.cells.schema["id"].dataType)
+        visit = _route_nearest(self.pivots, self.filled, probes)
+        parts = [
+            self._scan(asked.where(slice_no == i) if passes > 1 else asked, visit, k, schema, skip_same_id)
+            for i in range(passes)
+        ]
+        return _rank(reduce(DataFrame.unionAll, parts), k, self.metric)
+
+    def _scan(self, asked: DataFrame, visit, k: int, schema: T.StructType, skip_same_id: bool) -> DataFrame:
+        local, metric, dims = asked.toPandas(), self.metric, self.dims
+        matrix = metric.prepare(local["vector"], dims, QUESTION)
+        visited = visit(matrix) if len(matrix) else []
+        wanted = sorted({int(c) for cells in visited for c in cells})
+        asks = {c: np.array([i for i, cells in enumerate(visited) if c in cells]) for c in wanted}
+        shared = asked.sparkSession.sparkContext.broadcast((local["id"].to_numpy(), matrix, asks))
+
+        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, questions, by_cell = shared.value
+            best = None
+            for batch in batches:
+                for cell, rows in batch.groupby("cell"):
+                    mine = by_cell[cell]
+                    found = _block_topk(
+                        metric, k, rows["id"].to_numpy(), metric.prepare(rows["vector"], dims, CORPUS),
+                        ids[mine], questions[mine], skip_same_id,
+                    )
+                    best = found if best is None else _best(pd.concat([best, found]), k)
+            if best is not None:
+                yield _as_hits(best, metric)
+
+        return self.cells.where(F.col("cell").isin(wanted)).mapInPandas(score, schema)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +21,7 @@ from quaero.queries.common import (
     sql_graded, sql_hits, sql_strip, sql_vectors, table, user_questions,
 )
 from quaero.queries.text_queries import _sql_screen
-from quaero.session import materialize
+from quaero.session import materialize, shared_folder
 from quaero.sources.collection import append_audit
 from quaero.streaming.feed import audit_rows
 
@@ -103,11 +107,22 @@ SQL_FILTERED = _sql_neighbours(_SQL_COSINE, "DESC", "c.label >= 5")
 PIVOTS, PROBES = 16, 4
 
 
+def _index(spark: SparkSession, sf_dir: str) -> knn.Index:
+    """The index over the given vectors: stored once per application, then reopened."""
+    name = hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()
+    path = os.path.join(shared_folder(spark), "quaero", f"index-{spark.sparkContext.applicationId}-{name}")
+    try:
+        return knn.Index(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    knn.build_index(_vectors(spark, sf_dir), path, "cosine", PIVOTS, corpus_id="vec_id")
+    return knn.Index(spark, path)
+
+
 def _approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _vectors(spark, sf_dir)
-    return knn.topk_approx(
-        vectors, vectors, metric="cosine", pivots=PIVOTS, probes=PROBES,
-        question_id="vec_id", corpus_id="vec_id", skip_same_id=True,
+    return _index(spark, sf_dir).search(
+        _vectors(spark, sf_dir), probes=PROBES, question_id="vec_id", skip_same_id=True
     )
 
 

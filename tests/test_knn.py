@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +160,18 @@ def test_copies_of_long_vectors_tie_exactly(spark, route):
     questions = corpus[:40]
     got = knn.topk(frame(spark, questions, "question_id"), frame(spark, corpus, "corpus_id"), 3, "l2", route=route)
     assert found(got) == brute(questions, corpus, 3, "l2")
+
+
+def test_stored_index(spark, tmp_path):
+    rng = np.random.default_rng(21)
+    corpus, questions = rng.normal(size=(400, 8)), rng.normal(size=(9, 8))
+    asked, path = frame(spark, questions, "question_id"), str(tmp_path / "index")
+    knn.build_index(frame(spark, corpus, "corpus_id"), path, "cosine", pivots=16)
+    index = knn.Index(spark, path)
+    files = sorted(os.listdir(f"{path}/cells"))
+    everything = index.search(asked, 4, probes=16, max_broadcast_bytes=300)
+    assert found(everything) == brute(questions, corpus, 4, "cosine")
+    one = index.search(asked.where("question_id = 3"), 4, probes=2)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [cell" in plan
+    assert one.count() == 4 and sorted(os.listdir(f"{path}/cells")) == files
