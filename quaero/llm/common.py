@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 from quaero.session import materialize, shared_folder
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-_DEFAULT_BATCH = str(8 << 20)
+_SPARK_DEFAULT, _BATCH = "67108864b", str(8 << 20)
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches hold at most 8 MB (or one row), unless the session says otherwise.
+    """Arrow batches hold at most 8 MB (or one row), unless the session sets another size than Spark's own.
 
     The setting bounds a Python worker's memory on long texts; no result depends on it.
     """
-    if spark.conf.get(BATCH_BYTES, None) in (None, "", str(256 << 20), "268435456b", "256m", "256MB"):
-        spark.conf.set(BATCH_BYTES, _DEFAULT_BATCH)
+    if spark.conf.get(BATCH_BYTES, _SPARK_DEFAULT) == _SPARK_DEFAULT:
+        spark.conf.set(BATCH_BYTES, _BATCH)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
