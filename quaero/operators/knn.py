@@ -513,23 +513,26 @@ class Index:
         some question of the slice visits are read.
         """
         asked = _side(questions, question_id, question_vector).where(F.col("vector").isNotNull())
-        passes = max(1, math.ceil(questions.count() * (self.dims + 2) * 8 / max_broadcast_bytes))
-        slice_no = F.pmod(F.xxhash64("id"), F.lit(passes))
         schema = _hit_schema(questions.schema[question_id].dataType, self.cells.schema["id"].dataType)
         visit = _route_nearest(self.pivots, self.filled, probes)
-        parts = [
-            self._scan(asked.where(slice_no == i) if passes > 1 else asked, visit, k, schema, skip_same_id)
-            for i in range(passes)
-        ]
+        most = max(1, max_broadcast_bytes // ((self.dims + 2) * 8))
+        first = asked.limit(most + 1).toPandas()
+        if len(first) <= most:
+            slices = [first]
+        else:
+            passes = math.ceil(asked.count() / most)
+            slice_no = F.pmod(F.xxhash64("id"), F.lit(passes))
+            slices = (asked.where(slice_no == i).toPandas() for i in range(passes))
+        parts = [self._scan(local, visit, k, schema, skip_same_id) for local in slices]
         return _rank(reduce(DataFrame.unionAll, parts), k, self.metric)
 
-    def _scan(self, asked: DataFrame, visit, k: int, schema: T.StructType, skip_same_id: bool) -> DataFrame:
-        local, metric, dims = asked.toPandas(), self.metric, self.dims
+    def _scan(self, local: pd.DataFrame, visit, k: int, schema: T.StructType, skip_same_id: bool) -> DataFrame:
+        metric, dims = self.metric, self.dims
         matrix = metric.prepare(local["vector"], dims, QUESTION)
         visited = visit(matrix) if len(matrix) else []
         wanted = sorted({int(c) for cells in visited for c in cells})
         asks = {c: np.array([i for i, cells in enumerate(visited) if c in cells]) for c in wanted}
-        shared = asked.sparkSession.sparkContext.broadcast((local["id"].to_numpy(), matrix, asks))
+        shared = self.cells.sparkSession.sparkContext.broadcast((local["id"].to_numpy(), matrix, asks))
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ids, questions, by_cell = shared.value
