@@ -30,36 +30,41 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def climb(nodes: DataFrame) -> list[DataFrame]:
-    """Step tables of nodes(tree, node, parent, score).
+def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(step tables, arrived) of nodes(tree, node, parent, score).
 
-    Table k names for each node its ancestor 2^k steps up (``up``, null beyond the
-    root) with the nodes and scores passed on the way; the last has no ``up`` left,
-    so there ``hops`` is the depth and ``gain`` the score of the branch.
+    Table k names for each message its ancestor 2^k steps up, if there is one
+    (``up``), with the messages and scores passed on the way. Messages that are
+    through to their root leave the rounds for ``arrived``, where ``hops`` is the
+    depth and ``gain`` the score of the branch.
     """
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
     first = nodes.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("hops"),
         F.coalesce("score", F.lit(0.0)).alias("gain"),
     )
-    steps = [materialize(first, "steps")]
+    first = materialize(first, "steps")
+    steps, arrived = [first.where("up IS NOT NULL")], first.where("up IS NULL")
     open_before = None
     while True:
-        last = steps[-1]
-        still = last.where("up IS NOT NULL").count()
+        live = steps[-1]
+        still = live.count()
         # on a cycle pointers stay for ever: then a round changes nothing but the cycle's own
         if not still or still == open_before:
-            return steps
+            return steps, arrived
         open_before = still
-        above = last.select(
+        above = live.unionByName(arrived).select(
             "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("hops").alias("hops2"),
             F.col("gain").alias("gain2"),
         )
-        joined = last.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("up2").alias("up"), (F.col("hops") + F.coalesce("hops2", F.lit(0))).alias("hops"),
-            (F.col("gain") + F.coalesce("gain2", F.lit(0.0))).alias("gain"),
+        joined = materialize(
+            live.join(above, ["tree", "up"]).select(
+                "tree", "node", F.col("up2").alias("up"), (F.col("hops") + F.col("hops2")).alias("hops"),
+                (F.col("gain") + F.col("gain2")).alias("gain"),
+            ), "steps",
         )
-        steps.append(materialize(joined, "steps"))
+        steps.append(joined.where("up IS NOT NULL"))
+        arrived = arrived.unionByName(joined.where("up IS NULL"))
 
 
 def branch_paths(nodes: DataFrame, branches: int) -> DataFrame:
@@ -68,16 +73,16 @@ def branch_paths(nodes: DataFrame, branches: int) -> DataFrame:
     ``branch`` counts from 1 by falling score, ties by the smaller leaf; ``place``
     counts from 1 at the root.
     """
-    steps = climb(nodes)
-    parents = steps[0].where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
-    leaves = steps[-1].where("up IS NULL").join(parents, ["tree", "node"], "left_anti")
+    steps, arrived = climb(nodes)
+    parents = steps[0].select("tree", F.col("up").alias("node")).distinct()
+    leaves = arrived.join(parents, ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy(F.col("gain").desc(), "node")
     chosen = leaves.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= branches)
     rows = chosen.select(
         "tree", F.col("node").alias("leaf"), "branch", F.col("gain").alias("score"), "node", F.col("hops").alias("place")
     )
-    for k in range(len(steps) - 2, -1, -1):
-        higher = steps[k].where("up IS NOT NULL").select("tree", "node", "up")
+    for k in range(len(steps) - 1, -1, -1):
+        higher = steps[k].select("tree", "node", "up")
         both = F.array(
             F.struct("node", "place"),
             F.when(F.col("up").isNotNull(), F.struct(F.col("up").alias("node"), (F.col("place") - 2**k).alias("place"))),
