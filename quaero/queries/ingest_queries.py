@@ -162,6 +162,21 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_documents(docs, "text")
 
 
+def chunk_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last step of the ladder alone: chunks of 1,000 characters that repeat 200."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    chunks = chunk_documents(docs, "text", separators=("",))
+    return chunks.select("doc_id", F.col("chunk_no").cast("bigint").alias("chunk_no"), F.md5("text").alias("chunk_md5"))
+
+
+SQL_CHUNK_CHARS = rf"""
+WITH cut AS (
+  SELECT doc_id, i, regexp_replace(substr(text, 1 + 800 * i, 1000), '^\s+|\s+$', '', 'g') AS chunk
+  FROM (SELECT doc_id, text, unnest(range(1 + greatest(0, (length(text) - 1000 + 799) // 800))) AS i FROM documents))
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS chunk_no, md5(chunk) AS chunk_md5
+FROM cut WHERE chunk <> ''"""
+
+
 def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, chunks and chunk sizes per language and source."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
@@ -303,6 +318,7 @@ QUERIES = {
     "abstract_assemble": (abstract_assemble, SQL_ABSTRACT),
     "corpus_union": (corpus_union, SQL_UNION),
     "chunk_recursive": (chunk_recursive, None),
+    "chunk_chars": (chunk_chars, SQL_CHUNK_CHARS),
     "chunk_stats": (chunk_stats, None),
     "collection_build": (collection_build, None),
     "collection_lookup": (collection_lookup, SQL_LOOKUP),
