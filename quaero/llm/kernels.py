@@ -34,7 +34,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 _powers = np.ones(1, dtype=np.uint64)
 
 
-def _power_table(n: int) -> np.ndarray:
+def power_table(n: int) -> np.ndarray:
     global _powers
     if len(_powers) < n:
         table = np.full(max(n, 256, 2 * len(_powers)), _BYTE_MULT, dtype=np.uint64)
@@ -68,12 +68,30 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = end
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word, A-Z in lower case, and the row it stands in.
+def fold_table(separators: bytes, zero_digits: bool = False) -> np.ndarray:
+    """For each byte 0 if it separates words, else one more than its form in a word: A-Z in lower case."""
+    made = np.arange(1, 257, dtype=np.uint16)
+    made[65:91] += 32
+    if zero_digits:
+        made[48:58] = 49
+    made[list(separators)] = 0
+    return made
+
+
+BLANKS = fold_table(bytes([32, *range(9, 14)]))
+
+
+def hash_words(
+    data: np.ndarray, offsets: np.ndarray, table: np.ndarray = BLANKS, with_chars: bool = False
+) -> tuple[np.ndarray, ...]:
+    """The hash of each word and the row it stands in; with ``with_chars`` its code points as well.
 
-    Words are the runs of bytes other than space and \\x09 to \\x0D.
+    Words are the runs of bytes that ``table`` does not map to 0, in the form it
+    gives: by default what stands between space and \\x09 to \\x0D, A-Z in lower case.
+    ``offsets`` are the n + 1 bounds of the rows; a bound ends a word.
     """
-    keep = (data != 32) & ((data < 9) | (data > 13))
+    folded = table[data]
+    keep = folded != 0
     start = keep.copy()
     start[1:] &= ~keep[:-1]
     heads = offsets[:-1]
@@ -81,16 +99,19 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     start[heads] = keep[heads]
     at = np.flatnonzero(start)
     if not len(at):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        nothing = np.zeros(0, dtype=np.int64)
+        return (nothing.astype(np.uint64), nothing, *([nothing] if with_chars else []))
     row = np.searchsorted(offsets, at, side="right") - 1
-    inside = data[keep]
-    inside = inside + ((inside >= 65) & (inside <= 90)).astype(np.uint8) * np.uint8(32)
+    inside = folded[keep]
     first = np.flatnonzero(start[keep])
     length = np.diff(np.append(first, len(inside)))
     place = np.arange(len(inside)) - np.repeat(first, length)
-    table = _power_table(int(length.max()) + 1)
-    h = np.add.reduceat((inside.astype(np.uint64) + np.uint64(1)) * table[place], first)
-    return mix(h + length.astype(np.uint64) * _LEN_MULT), row
+    powers = power_table(int(length.max()) + 1)
+    h = np.add.reduceat(inside.astype(np.uint64) * powers[place], first)
+    h = mix(h + length.astype(np.uint64) * _LEN_MULT)
+    if not with_chars:
+        return h, row
+    return h, row, np.add.reduceat(((inside - 1) & 0xC0) != 0x80, first, dtype=np.int64)
 
 
 def hash_shingles(
@@ -147,7 +168,7 @@ def segment_hashes(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.
     first = np.flatnonzero(start)
     length = np.diff(np.append(first, len(data)))
     place = np.arange(len(data)) - np.repeat(first, length)
-    table = _power_table(int(length.max()) + 1 if len(length) else 1)
+    table = power_table(int(length.max()) + 1 if len(length) else 1)
     h = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * table[place], first)
     return first, length, mix(h + length.astype(np.uint64) * _LEN_MULT)
 
@@ -159,11 +180,11 @@ _LANES = np.array(
 
 
 def simhash(words: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
-    """A SimHash of 128 bits for each row from its word hashes: ``n_rows`` x 16 bytes.
+    """A SimHash of 64 bits for each row from its word hashes: ``n_rows`` x 8 bytes.
 
     A bit is set where more words have it than not; without words all bits are 0.
     """
-    made = np.zeros((n_rows, 16), dtype=np.uint8)
+    made = np.zeros((n_rows, 8), dtype=np.uint8)
     if not len(words):
         return made
     heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
@@ -172,8 +193,8 @@ def simhash(words: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
     within = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     starts = np.repeat(heads, pieces) + 255 * within
     owner = np.cumsum(pieces) - pieces
-    hashes = np.stack([words, mix(words ^ np.uint64(0x94D049BB133111EB))], axis=1).view(np.uint8)
-    for k in range(16):
+    hashes = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
+    for k in range(8):
         lanes = np.add.reduceat(_LANES[hashes[:, k]], starts)
         counts = lanes.view(np.uint8).reshape(-1, 8).astype(np.int64)
         counts = np.add.reduceat(counts, owner, axis=0)

@@ -112,10 +112,10 @@ def test_simhash_and_blocks():
     words, row = kernels.hash_words(*kernels.text_bytes(pa.array(texts)))
     made = kernels.simhash(words, row, len(texts))
     assert (made[0] == made[1]).all() and not made[2].any()
-    bits = np.unpackbits(np.stack([words, kernels.mix(words ^ np.uint64(0x94D049BB133111EB))], axis=1).view(np.uint8), axis=1)
+    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1)
     for r in range(len(texts)):
         mine = bits[row == r]
-        expected = 2 * mine.sum(axis=0) > len(mine) if len(mine) else np.zeros(128, dtype=bool)
+        expected = 2 * mine.sum(axis=0) > len(mine) if len(mine) else np.zeros(64, dtype=bool)
         assert (np.unpackbits(made[r], bitorder="little") == expected).all()
     regions = line_dedup.block_regions(made)
     assert (regions[0] == regions[1]).all() and len(set(regions.ravel().tolist())) > 6
@@ -124,9 +124,9 @@ def test_simhash_and_blocks():
 def test_flipped_bits_leave_an_equal_block():
     rng = np.random.default_rng(3)
     for _ in range(200):
-        x = rng.integers(0, 256, 16, dtype=np.uint8)
+        x = rng.integers(0, 256, 8, dtype=np.uint8)
         bits = np.unpackbits(x)
-        bits[rng.choice(128, line_dedup.MAX_BITS, replace=False)] ^= 1
+        bits[rng.choice(64, line_dedup.MAX_BITS, replace=False)] ^= 1
         a, b = line_dedup.block_regions(np.stack([x, np.packbits(bits)]))
         assert (a == b).any()
 
