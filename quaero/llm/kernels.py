@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 SHINGLE_WORDS = 5
 
 # Odd constants of the multiplicative hashes; any odd 64-bit numbers do.

@@ -25,6 +25,8 @@ from quaero.llm.kernels import segment_hashes, slices, text_bytes
 
 WINDOW = 1024
 END_ID = 0
+#: Larger slices share more words among their texts.
+SLICE_BYTES = 1 << 20
 
 TOKENS = "part int, before long, n_tokens long, ids binary"
 PIECES = (
@@ -148,7 +150,7 @@ def tokenize(docs: DataFrame, text_col: str, path: str, end_id: int | None = END
         for batch in batches:
             data, offsets = text_bytes(batch.column(text_col))
             rest = batch.select(names)
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, SLICE_BYTES):
                 ids, ends = encoder.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 tail = np.array(end, dtype=encoder.width)
                 runs = [np.concatenate((ids[x:y], tail)) for x, y in zip(ends[:-1], ends[1:])]

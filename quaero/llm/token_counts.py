@@ -22,6 +22,8 @@ from quaero.llm.kernels import segment_hashes, slices, text_bytes
 
 LIMIT = 4096
 LONG_SYMBOLS = 512
+#: Larger slices share more pre-tokens among their texts.
+SLICE_BYTES = 1 << 20
 _BLANK = "▁"
 _NONE = np.int64(1) << np.int64(30)
 #: Texts whose counts a model must give like the library, else its settings are not supported.
@@ -176,7 +178,7 @@ def count_tokens(
         for batch in batches:
             data, offsets = text_bytes(batch.column(text_col))
             parts = [
-                counter.counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)
+                counter.counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets, SLICE_BYTES)
             ]
             counts = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
             columns = [*batch.select(names).columns, pa.array(np.diff(offsets)), pa.array(counts)]
