@@ -3,10 +3,22 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quaero.llm import line_dedup
 
 
+def test_lines_equal_but_for_unicode_case_and_marks(spark):
+    pairs = [
+        ("ÜBER ÖDE ÄCKER", "über öde äcker"), ("ПРИВЕТ МИР", "привет мир"), ("ΟΔΟΣ ΑΘΗΝΑ", "οδος αθηνα"),
+        ("a\u201cb\u201d \u2014 c", "a b c"), ("x\u00a0y\u3000z", "x y z"), ("n \u0663\u0664", "N 12"),
+    ]
+    rows = [(2 * k + j, line) for k, pair in enumerate(pairs) for j, line in enumerate(pair)] + [(90, "\u2014 \u201c\u201d"), (91, "\u2014 \u201c\u201d")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r.doc_id for r in line_dedup.dedup_lines(table).where(F.size("removed_lines") > 0).collect()}
+    assert gone == {2 * k + 1 for k in range(len(pairs))}
+
+
 @pytest.mark.parametrize("words, changed", [(10, 1), (20, 1), (50, 5)])
 def test_edit_similarity_alone_decides(spark, words, changed):
     """Of lines with some words replaced, those of edit similarity 0.8 are found but for a stated share."""
