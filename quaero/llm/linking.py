@@ -6,8 +6,9 @@ regions has two steps, so that a large region costs no quadratic output and lose
 no link that would join two groups:
 
 1. Each region is kept in the order of its full signatures, and a row meets the
-   ``WINDOW`` rows after it, those with the longest common prefixes. Range
-   partitioning splits a crowded region at deeper prefixes, over many tasks.
+   ``WINDOW`` rows after it, those with the longest common prefixes. Regions of up
+   to ``WINDOW`` + 1 rows stay whole, so all their rows meet; range partitioning
+   splits a larger one at deeper prefixes, over many tasks.
 2. The verified links give groups. Only regions that step 1 did not cover and that
    still hold rows of several groups are searched whole, in blocks of bounded
    size, and only for pairs between different groups. Here the full contents come
@@ -86,8 +87,11 @@ def neighbour_pairs(members: DataFrame, near: Near, window: int = WINDOW) -> Dat
             held = tuple(x[-window:] for x in (ids, region, n, sig))
 
     rows = members.select("id", "region", "n", "signature")
-    ordered = rows.repartitionByRange("region", "signature").sortWithinPartitions("region", "signature")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    # a range bound may split a region; only those that mixed_regions covers may be split
+    whole = rows.where(members["m"] <= window + 1).repartition("region")
+    split = rows.where(members["m"] > window + 1).repartitionByRange("region", "signature")
+    pairs = [x.sortWithinPartitions("region", "signature").mapInArrow(run, "a long, b long") for x in (whole, split)]
+    return pairs[0].unionAll(pairs[1]).distinct()
 
 
 def mixed_regions(members: DataFrame, groups: DataFrame, window: int) -> DataFrame:

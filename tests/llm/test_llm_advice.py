@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quaero.llm import line_dedup
+from quaero.llm import line_dedup, linking
 
 
 def test_lines_equal_but_for_unicode_case_and_marks(spark):
@@ -34,3 +34,18 @@ def test_edit_similarity_alone_decides(spark, words, changed):
     done = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     found = done.where("size(removed_lines) > 0").count()
     assert similar > 180 and 0.9 * similar <= found <= similar
+
+
+def test_small_regions_are_never_split(spark):
+    class All(linking.Near):
+        def rows(self, sig, n, other, m):
+            return n == m
+
+    rows = [(100 * r + k, r, 10, 5, bytes([k])) for r in range(3) for k in range(10)]
+    members = spark.createDataFrame(rows, "id long, region long, m long, n long, signature binary")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert linking.neighbour_pairs(members, All()).count() == 3 * 45
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
