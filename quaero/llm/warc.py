@@ -129,13 +129,16 @@ class BadRecord(ValueError):
 
 def parse_record(data: memoryview) -> tuple[dict[str, str], bytes, int]:
     """(headers, block, length) of the record at the start of ``data``; raises BadRecord."""
-    head = bytes(data[: 1 << 16])
+    window = _CHUNK
+    head = bytes(data[:window])
     version = _VERSION.match(head)
     if not version:
         raise BadRecord("no version line")
-    close = head.find(b"\r\n\r\n")
-    if close < 0:
-        raise BadRecord("headers do not end")
+    while (close := head.find(b"\r\n\r\n")) < 0:
+        if window >= len(data):
+            raise BadRecord("headers do not end")
+        window *= 4
+        head = bytes(data[:window])
     headers = {}
     for line in head[version.end() : close].decode("utf-8", "replace").split("\r\n"):
         name, colon, value = line.partition(":")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quaero.llm import line_dedup, linking
+from quaero.llm import line_dedup, linking, warc
 
 
 def test_lines_equal_but_for_unicode_case_and_marks(spark):
@@ -49,3 +49,12 @@ def test_small_regions_are_never_split(spark):
         assert linking.neighbour_pairs(members, All()).count() == 3 * 45
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_page_with_an_url_over_64_kb(spark):
+    url = "http://h/" + " " * 30_000
+    pages = spark.createDataFrame([(1, url, "<p>x</p>"), (2, "http://h/2", "<p>y</p>")], "page_id long, url string, html string")
+    assert sorted(r.page_id for r in warc.archive_round_trip(pages).collect()) == [1, 2]
+    data = warc.record_bytes(1, url, b"<p>x</p>")
+    headers, _, length = warc.parse_record(memoryview(data))
+    assert length == len(data) and len(headers["warc-target-uri"]) > 1 << 16
