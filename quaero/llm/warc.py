@@ -4,6 +4,7 @@ The reader checks every gzip member and record (checksum, version line, lengths,
 digests). Where a check fails it searches onward for the next member or version
 line that opens a valid record, goes on from there, and logs the bytes it passed
 over as a gap. One damaged record so costs that record, not the rest of the file.
+In a gzip member of many records the search goes on inside its content.
 """
 
 from __future__ import annotations
@@ -171,66 +172,115 @@ def payload_of(block: bytes) -> bytes:
     return block.partition(b"\r\n\r\n")[2] if block.startswith(b"HTTP/") else block
 
 
-def _member(data: memoryview, at: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``at`` and where it ends; raises BadRecord."""
+def _member(data: memoryview, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` holds before its first fault, where it ends, and the fault or nothing."""
     unpack, parts, place = zlib.decompressobj(31), [], at
-    try:
-        while not unpack.eof:
-            if place >= len(data):
-                raise BadRecord("member is cut off")
-            piece = data[place : place + _CHUNK]
+    while not unpack.eof:
+        if place >= len(data):
+            return b"".join(parts), place, "member is cut off"
+        piece, before = data[place : place + _CHUNK], unpack.copy()
+        try:
             parts.append(unpack.decompress(piece))
-            place += len(piece)
-    except zlib.error as error:
-        raise BadRecord(f"member is damaged: {error}") from None
-    return b"".join(parts), place - len(unpack.unused_data)
+        except zlib.error as error:
+            for k in range(len(piece)):  # again, up to the byte at fault
+                try:
+                    parts.append(before.decompress(piece[k : k + 1]))
+                except zlib.error:
+                    break
+            return b"".join(parts), place, f"member is damaged: {error}"
+        place += len(piece)
+    return b"".join(parts), place - len(unpack.unused_data), ""
+
+
+def _has_digest(headers: dict[str, str]) -> bool:
+    named = ["warc-block-digest"] + ["warc-payload-digest"] * (headers.get("warc-type") == "response")
+    return any(headers.get(x, "").startswith("sha1:") and len(headers[x]) > 5 for x in named)
 
 
-def read_at(data: memoryview, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records of the member or plain record at ``at`` and where it ends; raises BadRecord."""
+def _inside(content: bytes, damaged: bool) -> tuple[list[tuple[dict[str, str], bytes]], list[tuple[int, int, str]]]:
+    """The valid records of a member's content and its gaps (begin, end, reason).
+
+    What decompresses before a fault may be wrong unnoticed, so in a damaged member
+    only records with a digest count.
+    """
+    data, records, gaps, at = memoryview(content), [], [], 0
+
+    def parse(place: int) -> tuple[dict[str, str], bytes, int]:
+        made = parse_record(data[place:])
+        if damaged and not _has_digest(made[0]):
+            raise BadRecord("record without a digest in a damaged member")
+        return made
+
+    while at < len(data):
+        try:
+            headers, block, length = parse(at)
+        except BadRecord as error:
+            reason, start, at = str(error), at, len(data)
+            for opening in _VERSION.finditer(content, start + 1):
+                try:
+                    parse(opening.start())
+                except BadRecord:
+                    continue
+                at = opening.start()
+                break
+            gaps.append((start, at, reason))
+            continue
+        records.append((headers, block))
+        at += length
+    return records, gaps
+
+
+Found = tuple[list[tuple[dict[str, str], bytes]], int, list[tuple[int, int, str]], str]
+
+
+def read_at(data: memoryview, at: int) -> Found:
+    """The member or plain record at ``at``: its records, where it ends, the gaps in its content, the fault of the member.
+
+    Raises BadRecord where no record is valid. Of a damaged member the end is not
+    known; what is given is where it was found to be damaged.
+    """
     if bytes(data[at : at + 3]) != _MAGIC:
         headers, block, length = parse_record(data[at:])
-        return [(headers, block)], at + length
-    content, end = _member(data, at)
-    records, rest = [], memoryview(content)
-    while len(rest):
-        headers, block, length = parse_record(rest)
-        records.append((headers, block))
-        rest = rest[length:]
-    return records, end
+        return [(headers, block)], at + length, [], ""
+    content, end, fault = _member(data, at)
+    records, gaps = _inside(content, bool(fault))
+    if not records and (fault or gaps):
+        raise BadRecord(fault or gaps[0][2])
+    return records, end, gaps, fault
 
 
 def salvage(content: bytes) -> Iterator[tuple[int, int, str, list[tuple[dict[str, str], bytes]]]]:
     """(offset, length, reason, records) over a whole archive: records without reason, or a gap with one.
 
     Valid members and records and the gaps cover every byte, in order. The place a
-    gap ends at is where a full read succeeds, so a chance magic number inside
-    damaged bytes does not count.
+    gap ends at is where a read succeeds, so a chance magic number inside damaged
+    bytes does not count. A gap in the content of a member has the member's offset,
+    length 0, and its place in the content in the reason. The records of a damaged
+    member also have length 0; the gap over its bytes comes after them.
     """
     data, at = memoryview(content), 0
+    found: Found | None = None
     while at < len(data):
         try:
-            records, end = read_at(data, at)
-            yield at, end - at, "", records
-            at = end
-            continue
+            records, end, gaps, reason = found or read_at(data, at)
+            for a, b, why in gaps:
+                yield at, 0, f"{why} (bytes {a} to {b} of the content)", []
+            if not reason:
+                yield at, end - at, "", records
+                at, found = end, None
+                continue
+            yield at, 0, "", records
         except BadRecord as error:
             reason = str(error)
-        start, found = at, None
-        for opening in _OPENING.finditer(content, at + 1):
+        start, at, found = at, len(data), None
+        for opening in _OPENING.finditer(content, start + 1):
             try:
                 found = read_at(data, opening.start())
             except BadRecord:
                 continue
             at = opening.start()
             break
-        if found is None:
-            yield start, len(data) - start, reason, []
-            return
         yield start, at - start, reason, []
-        records, end = found
-        yield at, end - at, "", records
-        at = end
 
 
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:

@@ -58,3 +58,27 @@ def test_page_with_an_url_over_64_kb(spark):
     data = warc.record_bytes(1, url, b"<p>x</p>")
     headers, _, length = warc.parse_record(memoryview(data))
     assert length == len(data) and len(headers["warc-target-uri"]) > 1 << 16
+
+
+def test_one_member_of_many_records():
+    import gzip
+    import re
+
+    plain = [warc.record_bytes(k, "http://x/%d" % k, random.Random(k).randbytes(900)) for k in range(300)]
+    whole = b"".join(plain)
+    ids = lambda found: [int(h["warc-record-id"].split(":")[-1][:-1]) for *_, records in found for h, _ in records]
+    begin = sum(map(len, plain[:7]))
+    inner = bytearray(whole)
+    inner[begin + 500] ^= 1  # one bad record in an intact member
+    data = gzip.compress(bytes(inner), mtime=0)
+    found = list(warc.salvage(data))
+    assert ids(found) == [k for k in range(300) if k != 7] and sum(x[1] for x in found) == len(data)
+    assert [(x[0], re.findall(r"bytes (\d+) to (\d+)", x[2])) for x in found if x[2]] == [(0, [(str(begin), str(begin + len(plain[7])))])]
+    for place in (len(data) // 2, len(data) - 6):  # a bad byte in the stream, a bad checksum
+        broken = bytearray(gzip.compress(whole, mtime=0))
+        broken[place] ^= 0x55
+        tail = gzip.compress(warc.record_bytes(900, "u", b"z"), mtime=0)
+        found = list(warc.salvage(bytes(broken) + tail))
+        got = ids(found)
+        assert got == sorted(set(got)) and len(got) >= (300 if place > len(data) - 9 else 140) and got[-1] == 900
+        assert sum(x[1] for x in found) == len(broken) + len(tail) and any(x[2] for x in found)
