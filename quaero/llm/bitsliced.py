@@ -27,16 +27,19 @@ SCALE = 64
 ROWS = 1 << 14
 QUERIES = 256
 CELL_QUERY_BLOCKS = 4
-#: Quantised components are at most this large, so that scores stay within 63 bits.
-LARGEST = 1 << 24
+#: Quantised components below this have differences within 62 bits; a larger one is an error, not left out.
+LARGEST = 1 << 61
 _DIGIT = 5  # bits of a query weight that one multiple covers
 
 
 def quantised(vector: str, scale: float = SCALE) -> Column:
     """floor(scale * x) of every component as a double; null for a vector that takes no part."""
     doubles = F.transform(F.col(vector), lambda x: x.cast("double"))
-    usable = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < LARGEST))
-    return F.when(F.coalesce(usable, F.lit(False)), F.transform(doubles, lambda x: F.floor(x * scale).cast("int")))
+    infinite = F.lit(float("inf"))
+    usable = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
+    too_large = F.raise_error(F.lit(f"a component times {scale} is not below 2^61")).cast("long")
+    whole = lambda x: F.when(F.abs(x * scale) < LARGEST, F.floor(x * scale).cast("long")).otherwise(too_large)
+    return F.when(F.coalesce(usable, F.lit(False)), F.transform(doubles, whole))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
@@ -111,7 +114,7 @@ class Block:
     def scores(self, weights: np.ndarray) -> tuple[np.ndarray, int]:
         """(slices of the score in two's complement, what to add to it)."""
         size = np.abs(weights)
-        width = int((size.sum() << self.bits)).bit_length() + 2
+        width = (sum(size.tolist()) << self.bits).bit_length() + 2
         width = max(width, self.wide + 1)
         attribute, digit, shift = [], [], []
         for k in range(max(1, -(-int(size.max()).bit_length() // _DIGIT))):
@@ -134,7 +137,7 @@ class Block:
             total = _add(numbers[0], numbers[1])
         else:
             total = numbers[0] if len(numbers) else np.zeros((width, self.slices.shape[2]), dtype=np.uint64)
-        return total, int(minus.sum()) + int(weights @ self.least)
+        return total, int(minus.sum()) + sum(w * x for w, x in zip(weights.tolist(), self.least.tolist()))
 
     def best(self, weights: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k rows with the highest scores, ties to smaller ids, without ``own``."""
@@ -160,9 +163,15 @@ class Block:
             ties = np.flatnonzero(np.unpackbits(open_rows.view(np.uint8), bitorder="little"))
             rows = np.concatenate((rows, ties[: k - len(rows)]))
         on = (total[:, rows // 64] >> (rows % 64).astype(np.uint64)) & np.uint64(1)
-        power = np.int64(1) << np.arange(len(total), dtype=np.int64)
-        power[-1] = -power[-1]
-        return self.ids[rows], power @ on.astype(np.int64) + base
+        if len(total) < 62 and abs(base) < 1 << 62:
+            power = np.int64(1) << np.arange(len(total), dtype=np.int64)
+            power[-1] = -power[-1]
+            return self.ids[rows], power @ on.astype(np.int64) + base
+        power = [1 << b for b in range(len(total) - 1)] + [-1 << (len(total) - 1)]
+        scores = [sum(p for p, bit in zip(power, column) if bit) + base for column in on.T.tolist()]
+        if any(not -(1 << 63) <= x < 1 << 63 for x in scores):
+            raise OverflowError("a score does not fit a long")
+        return self.ids[rows], np.array(scores, dtype=np.int64)
 
 
 def build_index(rows: DataFrame, dims: int, blocks: int) -> DataFrame:
@@ -201,8 +210,8 @@ def search(
 
     Scores are integer inner products of the quantised vectors; ties go to smaller
     ids and a query does not find its own id. Vectors that are null or empty, hold a
-    null, a non-finite component or one beyond the range, or have a null id take no
-    part. Vectors of different lengths are filled with zeros. Of several vectors of
+    null or a non-finite component, or have a null id take no part. Large components
+    only widen the slices; a score beyond a long is an error. Vectors of different lengths are filled with zeros. Of several vectors of
     one id the smallest counts. Other columns are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quaero.llm import line_dedup, linking, warc
+from quaero.llm import bitsliced, line_dedup, linking, warc
 
 
 def test_lines_equal_but_for_unicode_case_and_marks(spark):
@@ -82,3 +82,17 @@ def test_one_member_of_many_records():
         got = ids(found)
         assert got == sorted(set(got)) and len(got) >= (300 if place > len(data) - 9 else 140) and got[-1] == 900
         assert sum(x[1] for x in found) == len(broken) + len(tail) and any(x[2] for x in found)
+
+
+def test_large_components_take_part(spark):
+    vectors = [(k, [k / 8, 1.0 - k, 0.25]) for k in range(40)] + [(100, [3e5, 0.0, 1.0]), (120, [-5e8, 2.0, 4e9]), (101, [7e13, 0.0, 0.0])]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    known = {k: [int(64 * x // 1) for x in v] for k, v in vectors}
+    expected = []
+    for q in (0, 20):
+        found = sorted((-sum(a * b for a, b in zip(known[q], v)), k) for k, v in known.items() if k != q)[:20]
+        expected += [(q, r + 1, k, -s) for r, (s, k) in enumerate(found)]
+    got = bitsliced.search(table, F.col("vec_id").isin(0, 20))
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    with pytest.raises(Exception, match="fit a long"):
+        bitsliced.search(table.unionAll(spark.createDataFrame([(102, [7e13, 0.0, 0.0])], table.schema)), F.col("vec_id") == 101).collect()
