@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaero.llm import bitsliced, chat, decontaminate, line_dedup, near_dedup, packing, quality, sharding, token_counts, warc
+from quaero.llm import (
+    bitsliced, chat, decontaminate, infill, line_dedup, merkle, near_dedup, packing, quality, sharding, substring_dedup,
+    token_counts, warc,
+)
 from quaero.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -89,6 +92,28 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.fill_in_middle(table(spark, sf_dir, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda total, s: total + s.end - s.begin)
+    return done.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = {"text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))}
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    done = merkle.manifest(table(spark, sf_dir, "documents"), tampered, chosen)
+    return done.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 # Words end at the six ASCII blanks; only A-Z change case. Items of under five words are one sequence.
 _SQL_WORDS = r"""[w FOR w IN string_split_regex(translate(coalesce(text, ''),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF w <> '']"""
@@ -159,6 +184,104 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(r) + length(t) + 25) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
 
+SQL_FILL_IN_MIDDLE = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
+u AS (
+  SELECT doc_id, text, list_concat([x || chr(10) FOR x IN p[:-2]], [x FOR x IN p[-1:] IF x <> '']) AS lines,
+    [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN range(0, 4)] AS h FROM t),
+c AS (
+  SELECT *, len(lines) AS n, least(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS a,
+    greatest(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+      WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+s AS (
+  SELECT *, array_to_string(lines[1:a], '') AS prefix, array_to_string(lines[a + 1:b], '') AS middle,
+    array_to_string(lines[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM s"""
+
+# bytes as pairs of hex digits; a window is 400 digits
+SQL_SUBSTRING_DEDUP = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+  SELECT r, i, md5_number(substr(x, 2 * i + 1, 400)) AS m
+  FROM (SELECT r, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM d)),
+twice AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1),
+hit AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM w SEMI JOIN twice USING (m)),
+island AS (
+  SELECT r, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS k
+  FROM hit),
+span AS (SELECT r, k, min(i) AS a, max(i) + 200 AS b FROM island GROUP BY r, k),
+cut AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM span),
+kept AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS tail,
+    string_agg(substr(d.x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS head FROM cut JOIN d USING (r) GROUP BY r)
+SELECT doc_id, len(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
+def _sql_leaf(text):
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+             for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+# one step a bit, eight a character; the digits of an id are bytes
+SQL_CRC = '''xor(list_reduce(list_concat([4294967295], flatten([[ascii(ch), 0, 0, 0, 0, 0, 0, 0] FOR ch IN string_split({0}, '')])),
+  lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)'''
+
+SQL_MERKLE_MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_sql_leaf('text')} AS leaf, {_sql_leaf("replace(text, chr(10), '')")} AS changed,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY g) AS m FROM leaves),
+nodes AS (
+  SELECT g, 0 AS level, pos, m, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT g, level + 1, pos // 3, (any_value(m) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE m > 1 GROUP BY g, level, pos // 3),
+subroots AS (SELECT g, digest FROM nodes WHERE m = 1),
+tops AS (
+  SELECT 0 AS level, g AS pos, count(*) OVER () AS m, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (any_value(m) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tops WHERE m > 1 GROUP BY level, pos // 3),
+every AS (SELECT g, level, pos, digest FROM nodes UNION ALL SELECT -1, level, pos, digest FROM tops),
+steps AS (
+  SELECT r.g AS g, r.pos AS leaf_pos, n.level AS step, n.g AS tree, n.level AS level, r.pos // CAST(pow(3, n.level) AS BIGINT) AS own
+  FROM ranked r JOIN (SELECT DISTINCT g, level FROM nodes WHERE m > 1) n ON n.g = r.g
+  UNION ALL
+  SELECT r.g, r.pos, 100 + t.level, -1, t.level, r.g // CAST(pow(3, t.level) AS BIGINT)
+  FROM ranked r, (SELECT DISTINCT level FROM tops WHERE m > 1) t),
+sides AS (
+  SELECT s.g, s.leaf_pos, s.step,
+    coalesce(string_agg(e.digest, '' ORDER BY e.pos) FILTER (e.pos < s.own), '') AS l,
+    coalesce(string_agg(e.digest, '' ORDER BY e.pos) FILTER (e.pos > s.own), '') AS r
+  FROM steps s JOIN every e ON e.g = s.tree AND e.level = s.level AND e.pos // 3 = s.own // 3 GROUP BY ALL),
+paths AS (
+  SELECT g, leaf_pos, string_agg(l || r, '' ORDER BY step) AS proof, list(l ORDER BY step) AS ls, list(r ORDER BY step) AS rs
+  FROM sides GROUP BY g, leaf_pos),
+folded AS (
+  SELECT a.g, a.pos, 1 AS step, CASE WHEN {SQL_CRC.format('CAST(a.doc_id AS VARCHAR)')} % 2 = 0 THEN a.changed ELSE a.leaf END AS digest,
+    coalesce(p.ls, []) AS ls, coalesce(p.rs, []) AS rs FROM ranked a LEFT JOIN paths p ON p.g = a.g AND p.leaf_pos = a.pos
+  UNION ALL
+  SELECT g, pos, step + 1, sha256(ls[step] || digest || rs[step]), ls, rs FROM folded WHERE step <= len(ls))
+SELECT a.doc_id, a.leaf, s.digest AS subroot, t.digest AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+  f.digest AS folded_root, f.digest = t.digest AS verified
+FROM ranked a JOIN subroots s USING (g) JOIN tops t ON t.m = 1
+JOIN folded f ON f.g = a.g AND f.pos = a.pos AND f.step = len(f.ls) + 1
+LEFT JOIN paths p ON p.g = a.g AND p.leaf_pos = a.pos"""
+
 REGISTRY = {
     "op1_bitsliced_topk": (op1_bitsliced_topk, SQL_BITSLICED_TOPK),
     "op2_warc_salvage": (op2_warc_salvage, SQL_WARC_SALVAGE),
@@ -170,4 +293,7 @@ REGISTRY = {
     "op8_chat_paths": (op8_chat_paths, SQL_CHAT_PATHS),
     "op9_decontaminate": (op9_decontaminate, SQL_DECONTAMINATE),
     "op10_pack": (op10_pack, None),
+    "op11_fill_in_middle": (op11_fill_in_middle, SQL_FILL_IN_MIDDLE),
+    "op12_substring_dedup": (op12_substring_dedup, SQL_SUBSTRING_DEDUP),
+    "op13_merkle_manifest": (op13_merkle_manifest, SQL_MERKLE_MANIFEST),
 }
