@@ -205,13 +205,15 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
     ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
 FROM s"""
 
-# bytes as pairs of hex digits; a window is 400 digits
+# bytes as pairs of hex digits, in blocks of 200 windows; a window is 400 digits
 SQL_SUBSTRING_DEDUP = """
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS (
+  SELECT r, k, substr(x, 400 * k + 1, 798) AS y FROM (SELECT r, x, unnest(range(0, len(x) // 400 + 1)) AS k FROM d)),
 w AS (
-  SELECT r, i, md5_number(substr(x, 2 * i + 1, 400)) AS m
-  FROM (SELECT r, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM d)),
+  SELECT r, 200 * k + j AS i, md5_number(substr(y, 2 * j + 1, 400)) AS m
+  FROM (SELECT r, k, y, unnest(range(0, len(y) // 2 - 199)) AS j FROM b)),
 twice AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1),
 hit AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM w SEMI JOIN twice USING (m)),
 island AS (

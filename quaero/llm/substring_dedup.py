@@ -30,15 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaero.llm.common import materialize
+from quaero.llm.common import materialize, new_folder
 from quaero.llm.kernels import SLICE_BYTES, mix, slices, text_bytes
 from quaero.llm.suffixes import Scratch, neighbours
 
 WIDTH = 200
 GRAM = 32
 HOT = 1024
-SHARD_BYTES = 4 << 20
-BROADCAST_TEXTS = 1_000_000
+SHARD_BYTES = 2 << 20
+BROADCAST_TEXTS, BROADCAST_VALUES = 1_000_000, 4_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -189,6 +189,8 @@ def _span_batch(names: list[bytes], spans: list[tuple[list[int], list[int]]]) ->
 def sort_shard(path: str, names: list[bytes], ends: list[int], width: int, folder: str) -> Iterator[pa.RecordBatch]:
     """(segment, spans) of the segments that lie one after the other in the file, each closed by a 1, at last a 0."""
     text = np.memmap(path, dtype=np.uint16, mode="r")
+    if len(text) <= 2 * SHARD_BYTES:
+        text = np.array(text)
     scratch = Scratch(folder)
     marks = scratch.array(len(text), np.bool_)
     for one, other, common in neighbours(text, 258, width, scratch):
@@ -262,6 +264,13 @@ def hot_repeats(segments: DataFrame, width: int) -> DataFrame:
     return found.mapInArrow(run, f"segment binary, spans {SPANS}")
 
 
+def _stored_small(df: DataFrame, label: str) -> DataFrame:
+    """As ``materialize``, for rows that overlap their neighbours."""
+    path = new_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _digest(text: Column) -> Column:
     """128 bits of the SHA-256 of a text."""
     return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
@@ -269,14 +278,14 @@ def _digest(text: Column) -> Column:
 
 def repeated_spans(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """For docs(id, digest, text): (digest, copies, n) of all texts; (digest, spans) of those that occur once."""
-    described = materialize(describe(docs, width), "window_runs")
-    texts = described.groupBy("digest").agg(
+    texts = describe(docs, width).groupBy("digest").agg(
         F.count("*").alias("copies"), F.min("id").alias("id"), F.any_value("n").alias("n"), F.any_value("runs").alias("runs")
     )
     texts = materialize(texts, "texts")
     runs = texts.select("digest", F.explode("runs").alias("run")).select("digest", "run.*")
     values = runs.groupBy("value").agg(F.count("*").alias("c"), F.max("repeats").alias("r")).where("c > 1 OR r").select("value")
-    wanted = runs.join(materialize(values, "values"), "value").groupBy("digest").agg(
+    values = materialize(values, "values")
+    wanted = runs.join(F.broadcast(values) if values.count() <= BROADCAST_VALUES else values, "value").groupBy("digest").agg(
         F.collect_list(F.struct("start", "count", "value", "repeats")).alias("runs")
     )
     wanted = materialize(wanted.join(texts.select("digest", "copies", "id"), "digest"), "candidates")
@@ -284,7 +293,7 @@ def repeated_spans(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     near = docs.join(F.broadcast(listed) if listed.count() <= BROADCAST_TEXTS else listed, "digest", "left_semi")
     right = wanted.withColumnRenamed("id", "first")
     held = near.join(right, "digest").where(F.col("id").eqNullSafe(F.col("first")))
-    cut = materialize(cut_segments(held, width), "segments")
+    cut = _stored_small(cut_segments(held, width), "segments")
 
     # what repeats as a whole, and what must be compared
     kinds = cut.groupBy("segment", "value", "count").agg(F.sum("copies").alias("copies"), F.max("repeats").alias("repeats"))
@@ -296,14 +305,14 @@ def repeated_spans(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     different = cut.join(groups.select("value", "kinds"), "value").groupBy("segment").agg(
         F.any_value("value").alias("value"), F.any_value("kinds").alias("kinds"), F.any_value("content").alias("content")
     )
-    different = materialize(different, "different")
-    size = different.where(f"kinds <= {HOT}").agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    size = groups.where(f"kinds <= {HOT}").agg(F.sum(F.expr(f"size + {width} * kinds"))).first()[0] or 0
     shards = max(docs.sparkSession.sparkContext.defaultParallelism, int(size) // SHARD_BYTES + 1)
     whole = kinds.where("copies > 1").select(
         "segment", F.array(F.struct(F.lit(0).alias("begin"), (F.col("count") + width - 1).cast("int").alias("end"))).alias("spans")
     )
     found = sorted_repeats(different.where(f"kinds <= {HOT}"), width, shards)
-    found = found.unionAll(hot_repeats(different.where(f"kinds > {HOT}"), width))
+    if not groups.where(f"kinds > {HOT}").isEmpty():
+        found = found.unionAll(hot_repeats(different.where(f"kinds > {HOT}"), width))
     found = materialize(whole.unionAll(found.where("size(spans) > 0")), "segment_spans")
     once = cut.where("copies = 1").select("digest", "start", "segment").join(found, "segment")
     shifted = F.transform("spans", lambda s: F.struct((s.begin + F.col("start")).alias("begin"), (s.end + F.col("start")).alias("end")))

@@ -6,9 +6,9 @@ by naming the pieces between them and sorting the text of names the same way, on
 recursion deeper, until all names differ. From the sorted stars a queue induces all
 suffixes larger than their successor (L), and from those a second queue induces the S.
 
-What grows with the shard is on disk: the text and every array are files mapped into
-memory block by block, and the queues keep at most ``limit`` tuples before they write
-their buckets out. A queue is a priority queue for keys that never fall below the one
+What grows with the shard is on disk: once a sort holds ``MEMORY`` bytes, further arrays
+are files mapped into memory block by block, and the queues keep at most ``limit``
+tuples before they write their buckets out. A queue is a priority queue for keys that never fall below the one
 taken last: its buckets are ranges of first characters, each in order of arrival. On
 the text itself a tuple is a suffix and the length it has in common with the tuple
 before it in its bucket (up to ``cap``); in the text of names the suffix and its name.
@@ -25,20 +25,25 @@ import numpy as np
 
 BLOCK = 1 << 18
 LIMIT = 1 << 21
+MEMORY = 128 << 20
 SLOTS = 512
 
 
 class Scratch:
-    """Files of one sort below ``folder``, as mapped arrays."""
+    """The arrays of one sort: in memory up to ``memory`` bytes, then files below ``folder``."""
 
-    def __init__(self, folder: str) -> None:
-        self.folder, self.made = folder, 0
+    def __init__(self, folder: str, memory: int | None = None) -> None:
+        self.folder, self.made, self.left = folder, 0, MEMORY if memory is None else memory
 
     def path(self) -> str:
         self.made += 1
         return os.path.join(self.folder, f"{self.made}.bin")
 
     def array(self, n: int, dtype: type) -> np.ndarray:
+        size = n * np.dtype(dtype).itemsize
+        if size <= self.left:
+            self.left -= size
+            return np.zeros(n, dtype=dtype)
         return np.memmap(self.path(), dtype=dtype, mode="w+", shape=max(n, 1))[:n]
 
 
