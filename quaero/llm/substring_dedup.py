@@ -254,7 +254,7 @@ def hot_repeats(segments: DataFrame, width: int) -> DataFrame:
     single = segments.select("segment", "content").mapInArrow(windows, "segment binary, at int, x long, y long")
     single = materialize(single, "windows")
     twice = single.groupBy("x", "y").agg(F.count("*").alias("c")).where("c > 1").select("x", "y")
-    found = single.join(twice, ["x", "y"]).groupBy("segment").agg(F.array_sort(F.collect_list("at")).alias("at"))
+    found = single.join(twice, ["x", "y"], "left_semi").groupBy("segment").agg(F.array_sort(F.collect_list("at")).alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
