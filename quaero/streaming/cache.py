@@ -97,9 +97,13 @@ class CacheStream:
         last.where(live).write.mode("overwrite").parquet(self.path("misses", part))
 
 
-def replay_stream(asks: DataFrame, stream: CacheStream, checkpoint: str, finish: bool = True) -> StreamingQuery:
+def replay_stream(
+    asks: DataFrame, stream: CacheStream, checkpoint: str, finish: bool = True, allow_late: bool = True
+) -> StreamingQuery:
     """Works off the requests that are there; with ``finish`` the open ones are judged at the end.
 
+    Without ``allow_late`` a request behind the watermark is an error.
+
     Read the result with :func:`judged` and what came too late with :func:`late`.
     """
     last = [-1]
@@ -114,6 +118,10 @@ def replay_stream(asks: DataFrame, stream: CacheStream, checkpoint: str, finish:
     query.awaitTermination()
     if finish and last[0] >= 0:
         stream.finish(last[0], asks.schema)
+    if not allow_late:
+        behind = late(asks.sparkSession, stream.root, asks.schema).count()
+        if behind:
+            raise RuntimeError(f"{behind} requests came behind the watermark")
     return query
 
 
