@@ -287,7 +287,7 @@ def manifest(
     chunks = chunked(ranked(rows, "group", ["group", "id", "digest", "row"]).drop("group", "row"), levels, "id", "tampered")
     forest = Store(chunks, levels)
     subroots = forest.roots.select(F.lit(0).cast("long").alias("group_no"), F.col("group_no").alias("pos"), "digest")
-    source_chunks = chunked(subroots, levels)
+    source_chunks = chunked(materialize(subroots, "subroots"), levels)
     sources = Store(source_chunks, levels)
     start = sources.roots.select(
         "group_no", "size", "digest", F.array().cast(PATH).alias("above"), F.col("digest").alias("root"), F.col("digest").alias("subroot")

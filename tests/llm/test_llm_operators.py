@@ -122,10 +122,11 @@ def test_components(spark):
 
 
 def plain_form(line):
-    import re
+    import unicodedata
 
-    line = re.sub("[A-Z]", lambda m: m[0].lower(), line)
-    return " ".join(re.findall("(?:[a-z0]|[^\x00-\x7f])+", re.sub("[0-9]", "0", line)))
+    kinds = ((c, unicodedata.category(c)[0]) for c in line)
+    made = "".join("0" if k == "N" else c.lower()[0] if k in "LM" else " " for c, k in kinds)
+    return " ".join(made.replace("\u03c2", "\u03c3").split())
 
 
 def edit_distance(a, b):
@@ -138,25 +139,23 @@ def edit_distance(a, b):
 
 
 def brute_lines(rows):
-    """The lines to remove per document, by comparing every pair of normal forms."""
-    import pyarrow as pa
-
-    from quaero.llm.kernels import hash_words, simhash, text_bytes
-
+    """The lines to remove per document, by comparing every pair of normal forms by edit similarity alone."""
     seen = {}
     for doc, text in rows:
         for k, line in enumerate((text or "").split("\n")):
             if plain_form(line):
                 seen.setdefault(plain_form(line), []).append((doc, k))
-    forms = list(seen)
-    distinct = [" ".join(dict.fromkeys(f.split())) for f in forms]
-    hashes = simhash(*hash_words(*text_bytes(pa.array(distinct))), len(forms))
+    forms = sorted(seen, key=len)
+    sizes = np.array([len(f) for f in forms])
+    bags = np.array([np.bincount([ord(c) % 64 for c in f], minlength=64) for f in forms])
     links = []
-    for a, b in combinations(range(len(forms)), 2):
-        if np.bitwise_count(hashes[a] ^ hashes[b]).sum() <= line_dedup.MAX_BITS:
-            longest = max(len(forms[a]), len(forms[b]))
-            if edit_distance(forms[a], forms[b]) <= int(0.2 * longest + 1e-9):
-                links.append((a, b))
+    for a in range(len(forms)):
+        b = np.arange(a + 1, np.searchsorted(sizes, sizes[a] * 1.25 + 1, side="right"))
+        gap = bags[b] - bags[a]  # each edit takes at most one character away and adds one
+        least = np.maximum(np.maximum(gap, 0).sum(axis=1), np.maximum(-gap, 0).sum(axis=1))
+        for k in b[least <= (0.2 * sizes[b] + 1e-9).astype(int)].tolist():
+            if line_dedup.edit_distance(forms[a], forms[k]) <= int(0.2 * sizes[k] + 1e-9):
+                links.append((a, k))
     groups, first = brute_groups(links, range(len(forms))), {}
     for k, form in enumerate(forms):
         first[groups[k]] = min([first.get(groups[k], min(seen[form])), min(seen[form])])
