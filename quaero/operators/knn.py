@@ -40,6 +40,8 @@ SLICE_ROWS = 512  # questions per matrix product inside a task
 MAX_PIVOTS = 1024
 MAX_BROADCAST_BYTES = 64 << 20
 SCAN_PARTITION_BYTES = 32 << 20  # vectors in one corpus partition, estimated low
+SCAN_QUESTIONS = 1000  # questions that are collected and sent to the corpus; more meet it block by block
+CALIBRATION_ROWS, CALIBRATION_SHARE = 200, 95  # corpus vectors asked, and percent of their neighbours to reach
 PAIR_ROWS = 20_000  # candidate pairs scored at a time
 _SLACK = 1e-7  # widens every bound relative to the vectors' length, far above rounding error
 _TIE = 1e-9  # candidates this close to the limit are compared exactly
@@ -185,12 +187,13 @@ def _rank(hits: DataFrame, k: int, metric: Metric, merges: int = 1) -> DataFrame
 
 
 def pick_route(n_asked: int, n_stored: int, k: int, dims: int) -> str:
-    """One scan while the questions fit the executors, otherwise a scan for each slice that does.
+    """One scan of the corpus for few questions, otherwise a grid of question and corpus blocks.
 
-    Both read the corpus in place. The cells shuffle all vectors and prune only
-    where the data have few true dimensions, so they run only when asked for.
+    The grid keeps the questions in the executors. The cells shuffle all vectors as well
+    and prune only where the data have few true dimensions, so they run only when asked for.
     """
-    return "scan" if n_asked * (dims + 2) * 8 <= MAX_BROADCAST_BYTES else "passes"
+    few = n_asked <= SCAN_QUESTIONS and n_asked * (dims + 2) * 8 <= MAX_BROADCAST_BYTES
+    return "scan" if few else "grid"
 
 
 def topk(
@@ -212,8 +215,8 @@ def topk(
 
     ``where`` restricts the corpus before anything is scored. ``dims`` is the
     longest vector on either side; giving it spares a scan of both tables.
-    ``route`` forces ``"passes"`` or ``"cells"``; by default the checked sizes decide,
-    and a forced ``"scan"`` of too many questions is cut into passes as well.
+    ``route`` forces ``"grid"``, ``"passes"`` or ``"cells"``; by default the checked sizes
+    decide, and a forced ``"scan"`` of too many questions is cut into passes as well.
     """
     kind = METRICS[metric]
     if where is not None:
@@ -230,13 +233,19 @@ def topk(
     route = route or pick_route(n_asked, n_stored, k, dims)
     if route == "cells":
         return _rank(_cells(asked, stored, n_stored, k, kind, dims, schema, skip_same_id), k, kind)
+    merges = math.isqrt(1 + n_stored * dims * 4 // SCAN_PARTITION_BYTES)
+    if route == "grid":
+        whole = pd.DataFrame({"cell": [0], "n": [n_stored]})
+        hits = _visit_cells(
+            asked, stored.withColumn("cell", F.lit(0)), whole, lambda rows: [[0]] * len(rows), k, kind, dims, schema, skip_same_id
+        )
+        return _rank(hits, k, kind, merges)
     passes = max(1, math.ceil(n_asked * (dims + 2) * 8 / max_broadcast_bytes))
     slice_no = F.pmod(F.xxhash64("id"), F.lit(passes))
     parts = [
         _scan(asked.where(slice_no == i) if passes > 1 else asked, stored, k, kind, dims, schema, skip_same_id)
         for i in range(passes)
     ]
-    merges = math.isqrt(1 + n_stored * dims * 4 // SCAN_PARTITION_BYTES)
     return _rank(reduce(DataFrame.unionAll, parts), k, kind, merges)
 
 
@@ -475,25 +484,48 @@ def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:
 
 def build_index(
     corpus: DataFrame, path: str, metric: str = "l2", pivots: int | None = None,
-    corpus_id: str = "corpus_id", corpus_vector: str = "embedding", dims: int | None = None,
+    corpus_id: str = "corpus_id", corpus_vector: str = "embedding", dims: int | None = None, k: int = DEFAULT_K,
 ) -> None:
     """Store the corpus vectors by their nearest pivot, and the pivots, below ``path``.
 
     The number of pivots grows with the root of the corpus up to ``MAX_PIVOTS``,
-    unless it is given. Vectors are written once; every search reopens them. The
-    pivots are written last, so a build that died is simply no index yet.
+    unless it is given. Vectors are written once; every search reopens them. How many
+    cells a search visits is measured here (:func:`calibrate`) and stored with the pivots,
+    which are written last, so a build that died is simply no index yet.
     """
     kind, stored = METRICS[metric], _side(corpus, corpus_id, corpus_vector).where(F.col("vector").isNotNull())
     dims = dims or _longest(stored)
     count = pivots or min(MAX_PIVOTS, max(1, math.isqrt(stored.count())))
     centres = choose_pivots(stored, count, kind, dims)
     _with_cell(stored, centres, kind, dims).select("id", "vector", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
-    filled = corpus.sparkSession.read.parquet(f"{path}/cells").groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    rows = [(i, row.tolist(), dims, metric) for i, row in enumerate(centres)]  # one row per pivot
-    table = corpus.sparkSession.createDataFrame(rows, "cell int, pivot array<double>, dims int, metric string")
+    cells = corpus.sparkSession.read.parquet(f"{path}/cells")
+    filled = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    probes = calibrate(cells, centres, filled.toPandas(), metric, dims, k)
+    rows = [(i, row.tolist(), dims, metric, probes) for i, row in enumerate(centres)]  # one row per pivot
+    table = corpus.sparkSession.createDataFrame(rows, "cell int, pivot array<double>, dims int, metric string, probes int")
     table.join(filled, "cell", "left").coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
 
 
+def calibrate(cells: DataFrame, pivots: np.ndarray, limits: pd.DataFrame, metric: str, dims: int, k: int) -> int:
+    """The number of nearest cells in which ``CALIBRATION_SHARE`` percent of the true neighbours lie.
+
+    Measured on the neighbours of ``CALIBRATION_ROWS`` corpus vectors, the last in hash
+    order, by exact search over the whole corpus.
+    """
+    order = F.md5(F.col("id").cast("string").cast("binary"))
+    sample = materialize(cells.select("id", "vector").orderBy(order.desc(), F.desc("id")).limit(CALIBRATION_ROWS), "sample")
+    hits = topk(
+        sample, cells, k, metric, question_id="id", question_vector="vector", corpus_id="id", corpus_vector="vector",
+        skip_same_id=True, dims=dims,
+    )
+    homes = hits.join(cells.select(F.col("id").alias("corpus_id"), "cell"), "corpus_id").select("question_id", "cell").toPandas()
+    asked = sample.toPandas()  # at most CALIBRATION_ROWS
+    visited = _route_nearest(pivots, limits, len(limits))(METRICS[metric].prepare(asked["vector"], dims, QUESTION))
+    place = {(i, int(c)): n + 1 for i, row in zip(asked["id"], visited) for n, c in enumerate(row)}
+    places = sorted(place[i, int(c)] for i, c in zip(homes["question_id"], homes["cell"]))
+    return places[-(-CALIBRATION_SHARE * len(places) // 100) - 1] if places else 1
+
+
 class Index:
     """An opened index: the pivots in memory, the vectors where they are stored."""
 
@@ -501,30 +533,26 @@ class Index:
         pivots = spark.read.parquet(f"{path}/pivots").toPandas().sort_values("cell")
         self.cells = spark.read.parquet(f"{path}/cells")
         self.metric, self.dims = METRICS[pivots["metric"].iloc[0]], int(pivots["dims"].iloc[0])
-        self.pivots, self.filled = np.stack(pivots["pivot"].to_list()), pivots[pivots["n"].notna()][["cell"]]
+        self.pivots, self.filled = np.stack(pivots["pivot"].to_list()), pivots[pivots["n"].notna()][["cell", "n"]]
+        self.probes = int(pivots["probes"].iloc[0])
 
     def search(
-        self, questions: DataFrame, k: int = DEFAULT_K, probes: int = 4, question_id: str = "question_id",
-        question_vector: str = "embedding", skip_same_id: bool = False, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+        self, questions: DataFrame, k: int = DEFAULT_K, probes: int | None = None, question_id: str = "question_id",
+        question_vector: str = "embedding", skip_same_id: bool = False,
     ) -> DataFrame:
-        """The k nearest rows of each question among its ``probes`` nearest cells; nothing is written.
+        """The k nearest rows of each question among its ``probes`` nearest cells, by default as calibrated.
 
-        Questions go to the executors in slices of a checked size, and only the cells
-        some question of the slice visits are read.
+        Up to ``SCAN_QUESTIONS`` questions go to the cells where they are stored, nothing
+        is written, and only visited cells are read. More meet the cells block by block.
         """
         asked = _side(questions, question_id, question_vector).where(F.col("vector").isNotNull())
         schema = _hit_schema(questions.schema[question_id].dataType, self.cells.schema["id"].dataType)
-        visit = _route_nearest(self.pivots, self.filled, probes)
-        most = max(1, max_broadcast_bytes // ((self.dims + 2) * 8))
-        first = asked.limit(most + 1).toPandas()
-        if len(first) <= most:
-            slices = [first]
-        else:
-            passes = math.ceil(asked.count() / most)
-            slice_no = F.pmod(F.xxhash64("id"), F.lit(passes))
-            slices = (asked.where(slice_no == i).toPandas() for i in range(passes))
-        parts = [self._scan(local, visit, k, schema, skip_same_id) for local in slices]
-        return _rank(reduce(DataFrame.unionAll, parts), k, self.metric)
+        visit = _route_nearest(self.pivots, self.filled, probes or self.probes)
+        first = asked.limit(SCAN_QUESTIONS + 1).toPandas()
+        if len(first) <= SCAN_QUESTIONS:
+            return _rank(self._scan(first, visit, k, schema, skip_same_id), k, self.metric)
+        hits = _visit_cells(asked, self.cells, self.filled, visit, k, self.metric, self.dims, schema, skip_same_id)
+        return _rank(hits, k, self.metric)
 
     def _scan(self, local: pd.DataFrame, visit, k: int, schema: T.StructType, skip_same_id: bool) -> DataFrame:
         metric, dims = self.metric, self.dims

@@ -104,7 +104,7 @@ SQL_COSINE = _sql_neighbours(_SQL_COSINE, "DESC")
 SQL_L2 = _sql_neighbours(_SQL_L2, "ASC")
 SQL_FILTERED = _sql_neighbours(_SQL_COSINE, "DESC", "c.label >= 5")
 
-PIVOTS, PROBES = 16, 4
+PIVOTS = 16
 
 
 def _index(spark: SparkSession, sf_dir: str) -> knn.Index:
@@ -122,7 +122,7 @@ def _index(spark: SparkSession, sf_dir: str) -> knn.Index:
 
 def _approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _index(spark, sf_dir).search(
-        _vectors(spark, sf_dir), probes=PROBES, question_id="vec_id", skip_same_id=True
+        _vectors(spark, sf_dir), question_id="vec_id", skip_same_id=True
     )
 
 
@@ -144,16 +144,23 @@ gaps AS (
   SELECT q.id, c.cell, row_number() OVER (
     PARTITION BY q.id ORDER BY round(sqrt(greatest({_SQL_L2}, 0)), 10), c.cell) AS nth
   FROM u q CROSS JOIN pivots c),
+exact AS ({SQL_COSINE}),
+asked AS (SELECT id FROM e ORDER BY md5(id::VARCHAR) DESC, id DESC LIMIT {knn.CALIBRATION_ROWS}),
+places AS (
+  SELECT visit.nth, row_number() OVER (ORDER BY visit.nth) AS rn, count(*) OVER () AS total
+  FROM exact x JOIN asked ON asked.id = x.question_id JOIN gaps home ON home.id = x.corpus_id AND home.nth = 1
+  JOIN gaps visit ON visit.id = x.question_id AND visit.cell = home.cell),
+probes AS (SELECT max(nth) AS probes FROM places WHERE rn = ({knn.CALIBRATION_SHARE} * total + 99) // 100),
 hits AS (
   SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, corpus_id) AS rank
   FROM (
     SELECT q.id AS question_id, c.id AS corpus_id, round({_SQL_COSINE}, 10) AS score
-    FROM e q JOIN gaps visit ON visit.id = q.id AND visit.nth <= {PROBES}
+    FROM e q JOIN gaps visit ON visit.id = q.id AND visit.nth <= (SELECT probes FROM probes)
     JOIN gaps home ON home.cell = visit.cell AND home.nth = 1 JOIN e c ON c.id = home.id
     WHERE q.id <> c.id) QUALIFY rank <= 4)"""
 SQL_APPROX = f"WITH {_SQL_APPROX} SELECT * FROM hits"
 SQL_RECALL = f"""
-WITH {_SQL_APPROX}, exact AS ({SQL_COSINE})
+WITH {_SQL_APPROX}
 SELECT count(*) AS exact_hits, count(h.rank) AS found_hits, count(h.rank) / count(*) AS recall
 FROM exact x LEFT JOIN hits h ON h.question_id = x.question_id AND h.corpus_id = x.corpus_id"""
 

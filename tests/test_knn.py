@@ -131,9 +131,10 @@ def test_hash_embedding(spark):
 
 @pytest.mark.parametrize("asked, stored, route", [
     (100, 10**11, "scan"),        # a few questions never move the corpus
-    (2_000, 10_000, "scan"),
-    (100_000, 10**11, "scan"),
-    (10**7, 10**6, "passes"),     # the questions do not fit at once
+    (1_000, 10**11, "scan"),
+    (100_000, 10**11, "grid"),
+    (10**7, 10**6, "grid"),       # the questions stay in the executors
+    (2000, 2000, "grid"),
 ])
 def test_route_follows_the_sizes(asked, stored, route):
     assert knn.pick_route(asked, stored, 4, 64) == route
@@ -152,7 +153,32 @@ def test_passes_are_exact_and_move_no_vectors(spark, metric):
     assert not [line for line in plan.splitlines() if "Exchange" in line and "vector" in line]
 
 
-@pytest.mark.parametrize("route", ["scan", "cells"])
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_grid_is_exact_in_blocks(spark, monkeypatch, metric):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(knn, "QUESTION_BLOCK_ROWS", 25)
+    rng = np.random.default_rng(14)
+    corpus, questions = rng.normal(size=(300, 8)), rng.normal(size=(60, 8))
+    corpus[5], corpus[6] = corpus[7], 0
+    asked = frame(spark, questions, "question_id")
+    calls = []
+    monkeypatch.setattr(type(asked), "toPandas", lambda df: calls.append(df.columns))
+    got = knn.topk(asked, frame(spark, corpus, "corpus_id"), 4, metric, route="grid")
+    assert found(got) == brute(questions, corpus, 4, metric)
+    assert not calls  # no vector goes through the driver
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_index_reaches_nine_tenths(spark, tmp_path, sf):
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").withColumnRenamed("vec_id", "question_id")
+    knn.build_index(rows, str(tmp_path / sf), "cosine", 16, corpus_id="question_id")
+    rough = knn.Index(spark, str(tmp_path / sf)).search(rows, skip_same_id=True)
+    corpus = rows.withColumnRenamed("question_id", "corpus_id")
+    exact = knn.topk(rows, corpus, 4, "cosine", skip_same_id=True)
+    assert knn.recall(exact, rough).first().recall >= 0.9
+
+
+@pytest.mark.parametrize("route", ["scan", "cells", "grid"])
 def test_copies_of_long_vectors_tie_exactly(spark, route):
     rng = np.random.default_rng(8)
     corpus = np.round(1e4 + rng.normal(size=(200, 16)), 2)
@@ -169,7 +195,7 @@ def test_stored_index(spark, tmp_path):
     knn.build_index(frame(spark, corpus, "corpus_id"), path, "cosine", pivots=16)
     index = knn.Index(spark, path)
     files = sorted(os.listdir(f"{path}/cells"))
-    everything = index.search(asked, 4, probes=16, max_broadcast_bytes=300)
+    everything = index.search(asked, 4, probes=16)
     assert found(everything) == brute(questions, corpus, 4, "cosine")
     one = index.search(asked.where("question_id = 3"), 4, probes=2)
     plan = one._jdf.queryExecution().executedPlan().toString()

@@ -9,6 +9,7 @@ from quaero.functions.vectors import hash_embed
 from quaero.operators import cache
 from quaero.plans.answer import prepare_questions
 from quaero.streaming import feed, ingest
+from quaero.streaming import state as keyed
 from quaero.streaming.cache import CacheStream, judged, late, replay_stream
 
 T0 = dt.datetime(2024, 1, 1)
@@ -128,3 +129,73 @@ def test_new_or_changed_files(spark):
     files_now = spark.createDataFrame([("a", T0), ("b", T0), ("c", T0)], kind)
     known = spark.createDataFrame([("a", T0), ("b", T0 - dt.timedelta(days=1))], kind)
     assert {r.source for r in ingest.new_or_changed(files_now, known).collect()} == {"b", "c"}
+
+
+# --- state store ---------------------------------------------------------------------
+
+
+def run_keyed(stream, out, lateness=600):
+    query = feed.write_rows(keyed.replay_keyed(stream, lateness_seconds=lateness), out, f"{out}-progress")
+    query.awaitTermination()
+    return query
+
+
+@pytest.mark.parametrize("per_batch, shuffled", [(3, True), (100, True)])
+def test_keyed_state_equals_batch(spark, tmp_path, per_batch, shuffled):
+    rng = random.Random(6)
+    seconds = sorted(rng.randrange(30_000) for _ in range(300))
+    # one key holds half of all requests; some stand at the same time
+    rows = [(rng.choice(["hot", f"k{rng.randrange(6)}"]), T0 + dt.timedelta(seconds=s // 3 * 3), i) for i, s in enumerate(seconds)]
+    if shuffled:
+        rows.sort(key=lambda r: r[1] + dt.timedelta(seconds=rng.randrange(500)))
+    batch = {r.ask_id: r.hit for r in cache.replay(spark.createDataFrame(rows, ASKS)).collect()}
+    tick = ("tick", keyed.closing_tick(max(r[1] for r in rows), 600), -1)
+    stream = feed_of(spark, rows + [tick] * -(-len(rows) // 9), ASKS, str(tmp_path / "in"), per_batch)
+    query = run_keyed(stream, str(tmp_path / "out"))
+    got = {r.ask_id: r.hit for r in spark.read.parquet(str(tmp_path / "out")).collect() if r.ask_id >= 0}
+    assert got == batch and keyed.rows_behind(query) == 0
+    # expired keys have left the state: the tick is all that is open
+    assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 1
+
+
+def test_keyed_state_goes_on_after_a_restart(spark, tmp_path):
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    parts = [[("k", at(1), 0)], [("k", at(1000), 1), ("k", at(5000), 2)], [("tick", at(90_000), -1)]]
+    got = set()
+    for i, part in enumerate(parts):  # each part is seen by a new query on the same checkpoint
+        spark.createDataFrame(part, ASKS).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+        stream = spark.readStream.schema(ASKS).parquet(str(tmp_path / "in/*"))
+        run_keyed(stream, str(tmp_path / "out"))
+        got = {(r.ask_id, r.hit) for r in spark.read.schema("cache_key string, ask_id bigint, hit boolean").parquet(str(tmp_path / "out")).collect()}
+    assert got - {(-1, False)} == {(0, False), (1, True), (2, False)}
+
+
+def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    rows = [("k", at(10_000), 0), ("k", at(20_000), 1), ("k", at(100), 2), ("j", at(20_001), 3), ("j", at(90_000), -1)]
+    query = run_keyed(feed_of(spark, rows, ASKS, str(tmp_path / "in"), 1), str(tmp_path / "out"))
+    got = {r.ask_id for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got - {-1} == {0, 1, 3} and keyed.rows_behind(query) == 1
+
+
+def test_redelivered_rows_come_once(spark, tmp_path):
+    rows = [(f"k{i % 7}", T0 + dt.timedelta(seconds=i), i // 2) for i in range(400)]
+    rows = [(k, T0 + dt.timedelta(seconds=2 * (i // 2)), i) for k, _, i in rows]
+    stream = feed_of(spark, rows, ASKS, str(tmp_path / "in"), 1)
+    query = feed.write_rows(keyed.drop_redelivered(stream, ["ask_id"], "asked_at"), str(tmp_path / "out"), str(tmp_path / "p"))
+    query.awaitTermination()
+    ids = [r.ask_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(ids) == list(range(200)) and keyed.rows_behind(query) == 0
+
+
+def test_files_are_read_in_the_order_of_a_column(spark, tmp_path):
+    rows = spark.range(1000).withColumn("v", F.lit(999) - F.col("id"))
+    for part in (rows.where("v < 600"), rows.where("v >= 600")):
+        feed.write_in_order(part, str(tmp_path / "in"), 4, "v")
+    seen = []
+    stream = feed.read_stream(spark, str(tmp_path / "in"), rows.schema, "*.parquet", max_files=1)
+    query = stream.writeStream.foreachBatch(lambda b, i: seen.append(b.agg(F.min("v"), F.max("v")).first())).trigger(
+        availableNow=True
+    ).option("checkpointLocation", str(tmp_path / "p")).start()
+    query.awaitTermination()
+    assert len(seen) == 8 and all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
