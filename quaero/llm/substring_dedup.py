@@ -38,7 +38,7 @@ WIDTH = 200
 GRAM = 32
 HOT = 1024
 SHARD_BYTES = 2 << 20
-BROADCAST_TEXTS, BROADCAST_VALUES = 1_000_000, 4_000_000
+BROADCAST_TEXTS, BROADCAST_VALUES = 1_000_000, 1_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -236,7 +236,12 @@ def sorted_repeats(segments: DataFrame, width: int, shards: int) -> DataFrame:
 
 
 def hot_repeats(segments: DataFrame, width: int) -> DataFrame:
-    """As ``sorted_repeats``, by counting digests of single windows."""
+    """As ``sorted_repeats``, by counting digests of single windows.
+
+    Counts combine before their shuffle. The digests that repeat are few where many
+    segments share them, and are broadcast up to ``BROADCAST_VALUES`` of 16 bytes; more
+    are joined.
+    """
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,8 +257,10 @@ def hot_repeats(segments: DataFrame, width: int) -> DataFrame:
                     )
 
     single = segments.select("segment", "content").mapInArrow(windows, "segment binary, at int, x long, y long")
-    single = materialize(single, "windows")
     twice = single.groupBy("x", "y").agg(F.count("*").alias("c")).where("c > 1").select("x", "y")
+    twice = materialize(twice, "repeated_windows")
+    if twice.count() <= BROADCAST_VALUES:
+        return _spans_of_windows(segments, twice, width)
     found = single.join(twice, ["x", "y"], "left_semi").groupBy("segment").agg(F.array_sort(F.collect_list("at")).alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,6 +271,29 @@ def hot_repeats(segments: DataFrame, width: int) -> DataFrame:
     return found.mapInArrow(run, f"segment binary, spans {SPANS}")
 
 
+def _spans_of_windows(segments: DataFrame, twice: DataFrame, width: int) -> DataFrame:
+    """(segment, spans) by the windows whose digests are among ``twice(x, y)``, a counted number."""
+    known = np.sort(twice.toPandas().to_numpy(dtype=np.int64).view([("x", np.int64), ("y", np.int64)]).ravel())
+    shared = segments.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = shared.value
+        for batch in batches:
+            spans = []
+            for content in batch.column("content"):
+                data, starts = np.frombuffer(content.as_buffer(), dtype=np.uint8), []
+                for at in range(0, len(data) - width + 1 if len(listed) else 0, SLICE_BYTES):
+                    part = data[at : at + SLICE_BYTES + width - 1]
+                    pair = np.stack([rolling(part, width, seed).view(np.int64) for seed in (1, 3)], axis=1)
+                    pair = pair.view([("x", np.int64), ("y", np.int64)]).ravel()
+                    place = np.minimum(np.searchsorted(listed, pair), len(listed) - 1)
+                    starts.append(at + np.flatnonzero(listed[place] == pair))
+                spans.append(covered(np.concatenate(starts) if starts else np.zeros(0, dtype=np.int64), width))
+            yield _span_batch(batch.column("segment").to_pylist(), spans)
+
+    return segments.select("segment", "content").mapInArrow(run, f"segment binary, spans {SPANS}")
+
+
 def _stored_small(df: DataFrame, label: str) -> DataFrame:
     """As ``materialize``, for rows that overlap their neighbours."""
     path = new_folder(df.sparkSession, label)
@@ -312,7 +342,8 @@ def repeated_spans(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     )
     found = sorted_repeats(different.where(f"kinds <= {HOT}"), width, shards)
     if not groups.where(f"kinds > {HOT}").isEmpty():
-        found = found.unionAll(hot_repeats(different.where(f"kinds > {HOT}"), width))
+        hot = materialize(different.where(f"kinds > {HOT}"), "hot_segments")
+        found = found.unionAll(hot_repeats(hot, width))
     found = materialize(whole.unionAll(found.where("size(spans) > 0")), "segment_spans")
     once = cut.where("copies = 1").select("digest", "start", "segment").join(found, "segment")
     shifted = F.transform("spans", lambda s: F.struct((s.begin + F.col("start")).alias("begin"), (s.end + F.col("start")).alias("end")))

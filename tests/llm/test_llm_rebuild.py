@@ -79,10 +79,11 @@ def brute_spans(texts, width):
     return made
 
 
-@pytest.mark.parametrize("hot", [substring_dedup.HOT, 4])
-def test_remove_repeats(spark, empty, monkeypatch, hot):
-    """With ``hot`` of 4 the rims of the shared passage are compared by digests of windows."""
+@pytest.mark.parametrize("hot, listed", [(substring_dedup.HOT, 10**6), (4, 10**6), (4, 1)])
+def test_remove_repeats(spark, empty, monkeypatch, hot, listed):
+    """With ``hot`` of 4 the rims of the shared passage are compared by digests of windows, listed or joined."""
     monkeypatch.setattr(substring_dedup, "HOT", hot)
+    monkeypatch.setattr(substring_dedup, "BROADCAST_VALUES", listed)
     rng = random.Random(3)
     prose = lambda n: " ".join(f"w{rng.randrange(300)}" for _ in range(n))
     passage = prose(80)
