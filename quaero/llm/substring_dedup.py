@@ -273,7 +273,8 @@ def hot_repeats(segments: DataFrame, width: int) -> DataFrame:
 
 def _spans_of_windows(segments: DataFrame, twice: DataFrame, width: int) -> DataFrame:
     """(segment, spans) by the windows whose digests are among ``twice(x, y)``, a counted number."""
-    known = np.sort(twice.toPandas().to_numpy(dtype=np.int64).view([("x", np.int64), ("y", np.int64)]).ravel())
+    pairs = np.ascontiguousarray(twice.toPandas().to_numpy(dtype=np.int64))
+    known = np.sort(pairs.view([("x", np.int64), ("y", np.int64)]).ravel())
     shared = segments.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
