@@ -235,33 +235,77 @@ def sorted_repeats(segments: DataFrame, width: int, shards: int) -> DataFrame:
     return dealt.mapInArrow(run, f"segment binary, spans {SPANS}")
 
 
-def hot_repeats(segments: DataFrame, width: int) -> DataFrame:
-    """As ``sorted_repeats``, by counting digests of single windows.
+PAIR = [("x", np.int64), ("y", np.int64)]
 
-    Counts combine before their shuffle. The digests that repeat are few where many
-    segments share them, and are broadcast up to ``BROADCAST_VALUES`` of 16 bytes; more
-    are joined.
+
+def _digests(data: np.ndarray, width: int) -> np.ndarray:
+    """Two 64-bit hashes of every window, as one value."""
+    pair = np.stack([rolling(data, width, seed).view(np.int64) for seed in (1, 3)], axis=1)
+    return pair.view(PAIR).ravel()
+
+
+def hot_repeats(segments: DataFrame, width: int, windows: int) -> DataFrame:
+    """As ``sorted_repeats``, by counting digests of single windows; ``windows`` is their number.
+
+    A task counts its windows and sends them packed by buckets of their digest, so what
+    a bucket merges is bounded. The digests that repeat are few where many segments share
+    them, and are broadcast up to ``BROADCAST_VALUES`` of 16 bytes; more are joined.
     """
+    buckets = 64 + windows // (1 << 21)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def packed() -> pa.RecordBatch:
+            found, counts = np.unique(np.concatenate(held), return_counts=True)
+            bucket = (found["x"].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            names, starts = np.unique(bucket[order], return_index=True)
+            ends = [*starts[1:].tolist(), len(order)]
+            rows = [(order[a:b]) for a, b in zip(starts.tolist(), ends)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array([found[r].tobytes() for r in rows], type=pa.binary()),
+                 pa.array([counts[r].astype(np.int64).tobytes() for r in rows], type=pa.binary())],
+                names=["bucket", "digests", "counts"],
+            )
+
+        for batch in batches:
+            for content in batch.column("content"):
+                data = np.frombuffer(content.as_buffer(), dtype=np.uint8)
+                for at in range(0, len(data) - width + 1, SLICE_BYTES):
+                    held.append(_digests(data[at : at + SLICE_BYTES + width - 1], width))
+                    size += len(held[-1])
+                if size > 1 << 20:
+                    yield packed()
+                    held, size = [], 0
+        if held:
+            yield packed()
+
+    def merge(part: pa.Table) -> pa.Table:
+        found = np.frombuffer(b"".join(part["digests"].to_pylist()), dtype=PAIR)
+        counts = np.frombuffer(b"".join(part["counts"].to_pylist()), dtype=np.int64)
+        names, place = np.unique(found, return_inverse=True)
+        again = names[np.bincount(place, weights=counts) > 1]
+        return pa.table({"x": again["x"], "y": again["y"]})
+
+    counted = segments.select("content").mapInArrow(count, "bucket int, digests binary, counts binary")
+    twice = materialize(counted.groupBy("bucket").applyInArrow(merge, "x long, y long"), "repeated_windows")
+    if twice.count() <= BROADCAST_VALUES:
+        return _spans_of_windows(segments, twice, width)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column("segment").to_pylist(), batch.column("content")):
                 data = np.frombuffer(content.as_buffer(), dtype=np.uint8)
                 for at in range(0, len(data) - width + 1, SLICE_BYTES):
-                    part = data[at : at + SLICE_BYTES + width - 1]
-                    x, y = rolling(part, width, 1), rolling(part, width, 3)
+                    pair = _digests(data[at : at + SLICE_BYTES + width - 1], width)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(x), type=pa.binary()),
-                         pa.array(np.arange(at, at + len(x), dtype=np.int32)), pa.array(x.view(np.int64)), pa.array(y.view(np.int64))],
-                        names=["segment", "at", "x", "y"],
+                        [pa.array([name] * len(pair), type=pa.binary()), pa.array(np.arange(at, at + len(pair), dtype=np.int32)),
+                         pa.array(pair["x"].copy()), pa.array(pair["y"].copy())], names=["segment", "at", "x", "y"],
                     )
 
-    single = segments.select("segment", "content").mapInArrow(windows, "segment binary, at int, x long, y long")
-    twice = single.groupBy("x", "y").agg(F.count("*").alias("c")).where("c > 1").select("x", "y")
-    twice = materialize(twice, "repeated_windows")
-    if twice.count() <= BROADCAST_VALUES:
-        return _spans_of_windows(segments, twice, width)
-    found = single.join(twice, ["x", "y"], "left_semi").groupBy("segment").agg(F.array_sort(F.collect_list("at")).alias("at"))
+    found = segments.select("segment", "content").mapInArrow(single, "segment binary, at int, x long, y long")
+    found = found.join(twice, ["x", "y"], "left_semi").groupBy("segment").agg(F.array_sort(F.collect_list("at")).alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,7 +318,7 @@ def hot_repeats(segments: DataFrame, width: int) -> DataFrame:
 def _spans_of_windows(segments: DataFrame, twice: DataFrame, width: int) -> DataFrame:
     """(segment, spans) by the windows whose digests are among ``twice(x, y)``, a counted number."""
     pairs = np.ascontiguousarray(twice.toPandas().to_numpy(dtype=np.int64))
-    known = np.sort(pairs.view([("x", np.int64), ("y", np.int64)]).ravel())
+    known = np.sort(pairs.view(PAIR).ravel())
     shared = segments.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,9 +328,7 @@ def _spans_of_windows(segments: DataFrame, twice: DataFrame, width: int) -> Data
             for content in batch.column("content"):
                 data, starts = np.frombuffer(content.as_buffer(), dtype=np.uint8), []
                 for at in range(0, len(data) - width + 1 if len(listed) else 0, SLICE_BYTES):
-                    part = data[at : at + SLICE_BYTES + width - 1]
-                    pair = np.stack([rolling(part, width, seed).view(np.int64) for seed in (1, 3)], axis=1)
-                    pair = pair.view([("x", np.int64), ("y", np.int64)]).ravel()
+                    pair = _digests(data[at : at + SLICE_BYTES + width - 1], width)
                     place = np.minimum(np.searchsorted(listed, pair), len(listed) - 1)
                     starts.append(at + np.flatnonzero(listed[place] == pair))
                 spans.append(covered(np.concatenate(starts) if starts else np.zeros(0, dtype=np.int64), width))
@@ -342,9 +384,10 @@ def repeated_spans(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
         "segment", F.array(F.struct(F.lit(0).alias("begin"), (F.col("count") + width - 1).cast("int").alias("end"))).alias("spans")
     )
     found = sorted_repeats(different.where(f"kinds <= {HOT}"), width, shards)
-    if not groups.where(f"kinds > {HOT}").isEmpty():
+    crowd = groups.where(f"kinds > {HOT}").agg(F.sum("size")).first()[0]
+    if crowd:
         hot = materialize(different.where(f"kinds > {HOT}"), "hot_segments")
-        found = found.unionAll(hot_repeats(hot, width))
+        found = found.unionAll(hot_repeats(hot, width, int(crowd)))
     found = materialize(whole.unionAll(found.where("size(spans) > 0")), "segment_spans")
     once = cut.where("copies = 1").select("digest", "start", "segment").join(found, "segment")
     shifted = F.transform("spans", lambda s: F.struct((s.begin + F.col("start")).alias("begin"), (s.end + F.col("start")).alias("end")))
