@@ -10,8 +10,8 @@ no link that would join two groups:
    to ``WINDOW`` + 1 rows stay whole, so all their rows meet; range partitioning
    splits a larger one at deeper prefixes, over many tasks.
 2. The verified links give groups. Only regions that step 1 did not cover and that
-   still hold rows of several groups are searched whole, in blocks of bounded
-   size, and only for pairs between different groups. Here the full contents come
+   still hold rows of several groups are searched whole, in blocks of bounded rows
+   and content, and only for pairs between different groups. Here the full contents come
    to the blocks, so that pairs are decided where they are found and only links
    that join two groups leave a task.
 """
@@ -29,6 +29,8 @@ from quaero.llm.common import materialize
 
 WINDOW = 12
 BLOCK_ROWS = 1024
+#: sum of the sizes ``n`` (shingles, characters) a block holds, but for a row that is larger alone
+BLOCK_SIZE = 1 << 19
 BROADCAST_IDS = 4_000_000
 
 Verify = Callable[[DataFrame], DataFrame]
@@ -40,8 +42,9 @@ class Near:
 
     ``rows``: cheap test of two lists of rows by signature and size, true for every
     link but for a stated chance. ``certain``: the same without any chance of a miss.
-    ``prepare``: takes the contents of a block and returns ``linked(k, at)``, the
-    exact test of row ``k`` against the rows ``at``.
+    ``prepare``: takes the contents of a block and returns ``linked(k, at, group)``:
+    of the rows ``at``, which belong to the groups ``group``, one of each group that
+    row ``k`` has a link to, by the exact test.
     """
 
     def rows(self, sig: np.ndarray, n: np.ndarray, other: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -50,7 +53,7 @@ class Near:
     def certain(self, sig: np.ndarray, n: np.ndarray, other: np.ndarray, m: np.ndarray) -> np.ndarray:
         return self.rows(sig, n, other, m)
 
-    def prepare(self, contents: list[pa.Buffer]) -> Callable[[int, np.ndarray], np.ndarray]:
+    def prepare(self, contents: list[pa.Buffer]) -> Callable[[int, np.ndarray, np.ndarray], np.ndarray]:
         raise NotImplementedError
 
 
@@ -98,13 +101,15 @@ def mixed_regions(members: DataFrame, groups: DataFrame, window: int) -> DataFra
     """The rows, with their group, of regions too large for ``neighbour_pairs`` that hold several groups."""
     wide = members.where(F.col("m") > window + 1).select("id", "region", "n", "m", "signature")
     wide = wide.join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
-    mixed = wide.groupBy("region").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y")
-    return wide.join(mixed.select("region"), "region", "left_semi")
+    mixed = wide.groupBy("region").agg(
+        F.min("group").alias("x"), F.max("group").alias("y"), F.sum("n").alias("size")
+    ).where("x <> y")
+    return wide.join(mixed.select("region", "size"), "region")
 
 
 def joining_links(mixed: DataFrame, contents: DataFrame, near: Near, block: int) -> DataFrame:
     """Links (a, b) that join different groups of a region; contents(id, content)."""
-    blocks = F.ceil(F.col("m") / block).cast("int")
+    blocks = F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("size") / BLOCK_SIZE)).cast("int")
     rows = mixed.join(contents, "id").withColumn("blocks", blocks)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -131,10 +136,9 @@ def joining_links(mixed: DataFrame, contents: DataFrame, near: Near, block: int)
                     at &= side != side[k]
                 at = np.flatnonzero(at)
                 at = at[near.certain(sig[at], n[at], sig[k][None, :], n[k])] if len(at) else at
-                at = at[linked(k, at)] if len(at) else at
-                for r, x in zip(*np.unique(root[at], return_index=True)):  # one link for each group met
-                    a.append(int(ids[k])), b.append(int(ids[at[x]]))
-                    root[root == r] = root[k]
+                for x in linked(k, at, root[at]).tolist() if len(at) else []:
+                    a.append(int(ids[k])), b.append(int(ids[x]))
+                    root[root == root[x]] = root[k]
         a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 

@@ -104,20 +104,21 @@ class Similar(linking.Near):
     def certain(self, sig: np.ndarray, n: np.ndarray, other: np.ndarray, m: np.ndarray) -> np.ndarray:
         return 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
 
-    def prepare(self, contents: list[pa.Buffer]) -> Callable[[int, np.ndarray], np.ndarray]:
+    def prepare(self, contents: list[pa.Buffer]) -> Callable[[int, np.ndarray, np.ndarray], np.ndarray]:
         sets = [unpack_set(x) for x in contents]
         sizes = np.array([len(x) for x in sets], dtype=np.int64)
         begins = np.cumsum(sizes) - sizes
         names, number = np.unique(np.concatenate(sets), return_inverse=True)
         mine = np.zeros(len(names), dtype=bool)
 
-        def linked(k: int, at: np.ndarray) -> np.ndarray:
+        def linked(k: int, at: np.ndarray, group: np.ndarray) -> np.ndarray:
             own = number[begins[k] : begins[k] + sizes[k]]
             mine[own] = True
             heads = np.cumsum(sizes[at]) - sizes[at]
             shared = np.add.reduceat(mine[number[ragged_take(begins[at], sizes[at])]], heads, dtype=np.int64)
             mine[own] = False
-            return 100 * shared >= self.percent * (sizes[at] + sizes[k] - shared)
+            good = 100 * shared >= self.percent * (sizes[at] + sizes[k] - shared)
+            return at[good][np.unique(group[good], return_index=True)[1]]
 
         return linked
 

@@ -7,6 +7,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -174,6 +175,36 @@ def test_bit_parallel_edit_distance():
         assert line_dedup.edit_distance(a, b) == edit_distance(a, b)
 
 
+def test_shared_grams_lose_no_link():
+    """The count of common 3-grams rules out no pair within the similarity; one link of each group comes back."""
+    rng = random.Random(3)
+    for turn in range(40):
+        letters = "ab " if turn % 2 else "abcdefghij é"
+        forms = ["".join(rng.choices(letters, k=rng.choice([5, 8, 20, 60, 200]))) for _ in range(4)]
+        for base in forms[:4]:
+            for share in (0.05, 0.15, 0.25):
+                forms.append("".join(rng.choice(["", c + "x", "y"]) if rng.random() < share else c for c in base))
+        forms += ["", "a"]
+        at = np.arange(len(forms))
+        grams = line_dedup.Grams(forms)
+        grams.STEP = rng.choice([1, 50, 1 << 20])
+        linked = line_dedup.Edits(0.8).prepare([pa.py_buffer(x.encode()) for x in forms])
+        for k, form in enumerate(forms):
+            true = np.array([edit_distance(form, x) <= int(0.2 * max(len(form), len(x)) + 1e-9) for x in forms])
+            assert (grams.spare(k, at, 0.8)[true] >= 0).all()
+            got = linked(k, at, at % 5)
+            assert true[got].all() and sorted(got % 5) == sorted(set(at[true] % 5))
+
+
+def test_blocks_of_bounded_content(spark, docs, monkeypatch):
+    """Blocks cut by the size of their contents, down to single rows, give the same groups."""
+    whole = {r.doc_id: r.component_id for r in near_dedup.near_groups(docs).collect()}
+    link = linking.link_groups
+    monkeypatch.setattr(linking, "link_groups", lambda m, n, v, c: link(m, n, v, c, window=1))
+    monkeypatch.setattr(linking, "BLOCK_SIZE", 40)
+    assert {r.doc_id: r.component_id for r in near_dedup.near_groups(docs).collect()} == whole
+
+
 @pytest.mark.parametrize("window", [linking.WINDOW, 1])
 def test_dedup_lines(spark, empty, monkeypatch, window):
     link = linking.link_groups
