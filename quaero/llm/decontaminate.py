@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaero.llm.common import materialize
+from quaero.llm.common import materialize, ragged_take
 from quaero.llm.kernels import SHINGLE_WORDS, column_shingle_sets
 
 CONTAINMENT = 0.8
@@ -73,21 +73,32 @@ class ItemBlock:
         self.all, self.all_owner = np.concatenate(sets), np.repeat(np.arange(len(rows)), self.sizes)
         order = np.argsort(self.all, kind="stable")
         self.all, self.all_owner = self.all[order], self.all_owner[order]
-        self.filter = np.zeros(1 << 20, dtype=bool)  # of the 20 high bits of every item shingle
-        self.filter[(self.all >> np.uint64(44)).astype(np.int64)] = True
+        # the distinct item shingles, where the items of each begin, and which of them are signature values
+        self.names, self.begins = np.unique(self.all, return_index=True)
+        self.begins = np.append(self.begins, len(self.all))
+        self.marks, self.mark_begins = np.unique(self.value, return_index=True)
+        self.mark_begins = np.append(self.mark_begins, len(self.value))
+        self.filter = np.zeros(1 << 23, dtype=bool)  # of the 23 high bits of every item shingle
+        self.filter[(self.all >> np.uint64(41)).astype(np.int64)] = True
 
     def matches(self, have: np.ndarray) -> list[tuple[int, int]]:
         """(item, shared shingles) for one document's distinct hashes, sorted."""
-        have = have[self.filter[(have >> np.uint64(44)).astype(np.int64)]]
-        if not len(have):
+        have = have[self.filter[(have >> np.uint64(41)).astype(np.int64)]]
+        owners = self._owners(have, self.marks, self.mark_begins, self.owner)
+        if not len(owners):
             return []
-        met = np.isin(self.value, have, assume_unique=False)
-        if not met.any():
-            return []
-        candidates = np.zeros(len(self.ids), dtype=bool)
-        candidates[self.owner[met]] = True
-        shared = np.bincount(self.all_owner[np.isin(self.all, have)], minlength=len(self.ids))
-        return [(int(k), int(shared[k])) for k in np.flatnonzero(candidates & (shared >= self.need))]
+        candidates = np.unique(owners)
+        owners = self._owners(have, self.names, self.begins, self.all_owner)
+        found, shared = np.unique(owners[np.isin(owners, candidates)], return_counts=True)
+        good = shared >= self.need[found]
+        return list(zip(found[good].tolist(), shared[good].tolist()))
+
+    @staticmethod
+    def _owners(have: np.ndarray, names: np.ndarray, begins: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The items of those of ``have`` that are among ``names``: the work grows with the document, not the block."""
+        at = np.searchsorted(names, have)
+        at = at[names[np.minimum(at, len(names) - 1)] == have]
+        return owner[ragged_take(begins[at], begins[at + 1] - begins[at])]
 
 
 def item_blocks(sets: DataFrame, limit: int) -> list[tuple[int, int]]:

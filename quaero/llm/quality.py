@@ -132,7 +132,7 @@ def fit(
 
     The sample does not depend on the size or order of the tables beyond the ids in
     it: the smallest hashes of ids come first. Of several labels of an id the larger
-    counts; null labels and ids do not.
+    counts, of several texts the first in order; null labels and ids do not.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (fold(id_col) != 1))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
@@ -154,7 +154,10 @@ def fit(
                 names=["id", "label", "buckets", "shares"],
             )
 
-    sampled = rows.join(F.broadcast(chosen), "id").select("id", "label", "text")
+    # one text of each id, so that repeated rows do not reach the driver
+    sampled = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(
+        F.max("label").alias("label"), F.min("text").alias("text")
+    )
     found = sampled.mapInArrow(run, "id long, label int, buckets binary, shares binary").collect()
     found.sort(key=lambda r: (r.id, r.label, r.buckets))
     kind = "<u2" if BUCKET_BITS <= 16 else "<u4"
