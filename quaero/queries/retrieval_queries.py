@@ -14,13 +14,14 @@ from quaero.functions.vectors import DEFAULT_DIMS, cosine, hash_embed
 from quaero.operators import documents as docs
 from quaero.operators import grounding as gr
 from quaero.operators import knn
+from quaero.operators import translation as tr
 from quaero.operators.screening import REFUSAL_MESSAGE
 from quaero.plans.answer import answer_batch, check_answers
 from quaero.queries.common import (
     SQL_ANSWERS, SQL_QUESTIONS, SQL_REPLIES, answers, document_collection, quote, replies, scratch, spread,
     sql_graded, sql_hits, sql_strip, sql_vectors, table, user_questions,
 )
-from quaero.queries.text_queries import _sql_screen
+from quaero.queries.text_queries import _SQL_LANGUAGE, _sql_masked, _sql_screen
 from quaero.session import materialize, shared_folder
 from quaero.sources.collection import append_audit
 from quaero.streaming.feed import audit_rows
@@ -439,6 +440,77 @@ SELECT id AS question_id, is_safe, reason,
 FROM screened LEFT JOIN verdicts v ON v.question_id = id LEFT JOIN blocks b ON b.question_id = id"""
 
 
+def _finished_translations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished translations of well labelled conversations: of a question the document with its number,
+    of an answer the answer itself with a mark."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("conv_id")).distinct()
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), F.col("text").alias("translated"))
+    asked = user_questions(spark, sf_dir).join(good, "conv_id", "left_semi").join(texts, "conv_id").select(
+        tr.text_key(tx.strip(F.col("question"))).alias("text_key"), F.lit("pt_en").alias("direction"), "translated"
+    )
+    said = table(spark, sf_dir, "conversations").where("role = 'assistant'").join(good, "conv_id", "left_semi").select(
+        tr.text_key(F.col("text")).alias("text_key"), F.lit("en_pt").alias("direction"),
+        F.concat(F.lit("[en_pt] "), "text").alias("translated"),
+    )
+    return asked.unionByName(said).groupBy("text_key", "direction").agg(F.min("translated").alias("translated"))
+
+
+def answer_translated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow with a detected language, translations both ways and the masked question.
+
+    The language of the document with a conversation's number is the detected one;
+    the tables have no Portuguese, so Spanish stands in for it.
+    """
+    spoken = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("conv_id"),
+        F.when(F.col("lang") == "es", "pt").otherwise(F.col("lang")).alias("primary_language"),
+    )
+    asked = user_questions(spark, sf_dir).join(spoken, "conv_id", "left")
+    result = answer_batch(
+        asked.select("question_id", "question", "primary_language"), document_collection(spark, sf_dir),
+        answers(spark, sf_dir), replies(spark, sf_dir), _finished_translations(spark, sf_dir),
+    )
+    return result.select(
+        "question_id", "language", tx.mask_pii(F.col("question")).alias("masked_question"), "question_en", "is_safe",
+        "screening.reason", "prompt", "answer", "hallucination_check", "status",
+        F.array_join("sources", "|").alias("sources"),
+    )
+
+
+SQL_TRANSLATED = f"""
+WITH {SQL_QUESTIONS}, {SQL_ANSWERS}, {SQL_REPLIES},
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+spoken AS (
+  SELECT *, {_SQL_LANGUAGE} AS language FROM (
+    SELECT q.id, q.conv_id, {sql_strip('q.text')} AS text, CASE WHEN d.lang = 'es' THEN 'pt' ELSE d.lang END AS lang
+    FROM questions q LEFT JOIN documents d ON d.doc_id = q.conv_id)),
+asked_in_english AS (
+  SELECT s.text, {sql_strip('min(d.text)')} AS translated FROM spoken s
+  JOIN good g ON g.doc_id = s.conv_id JOIN documents d ON d.doc_id = s.conv_id GROUP BY 1),
+said AS (
+  SELECT DISTINCT text FROM conversations WHERE role = 'assistant' AND conv_id IN (SELECT doc_id FROM good)),
+searched AS (
+  SELECT s.id, s.language, s.text AS question,
+    coalesce(CASE WHEN s.language = 'pt' AND length(s.text) >= 2 THEN t.translated END, s.text) AS text
+  FROM spoken s LEFT JOIN asked_in_english t ON t.text = s.text),
+{sql_hits('hits', 'searched')}, {sql_graded('graded', 'hits', 'questions')}, {_SQL_SHARE}, {_SQL_VERDICT},
+blocks AS ({_sql_context('graded', 'pos')}),
+cleaned AS (
+  SELECT s.id, s.language, s.question AS text, s.text AS question_en, r.reply FROM searched s
+  LEFT JOIN replies r ON r.question = s.question
+  WHERE s.question <> '' AND lower(s.question) NOT IN ('sair', 'exit', 'quit', 'q')),
+screened AS (SELECT * FROM ({_sql_screen('cleaned', 'id, language, question_en, text')}))
+SELECT s.id AS question_id, language, {_sql_masked('s.text')} AS masked_question, question_en, is_safe, reason,
+  CASE WHEN is_safe THEN {_sql_prompt('s.text')} END AS prompt,
+  CASE WHEN NOT is_safe THEN {quote(REFUSAL_MESSAGE)}
+       WHEN language = 'pt' AND length(v.generation) >= 2 AND said.text IS NOT NULL
+       THEN {sql_strip("'[en_pt] ' || v.generation")} ELSE v.generation END AS answer,
+  CASE WHEN is_safe THEN coalesce(hallucination_check, 'validation_error') END AS hallucination_check,
+  CASE WHEN is_safe THEN coalesce({_SQL_STATUS}, '') END AS status,
+  CASE WHEN is_safe THEN sources END AS sources
+FROM screened s LEFT JOIN verdicts v ON v.question_id = s.id LEFT JOIN blocks b ON b.question_id = s.id
+LEFT JOIN said ON said.text = v.generation"""
+
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers appended to the audit log with their sources, then counted from it."""
@@ -481,5 +553,6 @@ QUERIES = {
     "status_labels": (status_labels, SQL_STATUS),
     "flow_counters": (flow_counters, SQL_COUNTERS),
     "answer_batch": (answer_all, SQL_ANSWER),
+    "answer_translated": (answer_translated, SQL_TRANSLATED),
     "audit_log": (audit_log, SQL_AUDIT),
 }
