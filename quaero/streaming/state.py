@@ -1,10 +1,11 @@
 """The expiring cache and the removal of repeated deliveries on Spark's state store.
 
-The state of a key is its last miss and the requests the watermark has not passed yet;
-an event-time timer wakes the key when it may judge the next of them, and evicts it
-when its last miss has expired. So the state holds live keys and open requests only, a
-restarted stream goes on from its checkpoint, and the cut into micro-batches and the
-order of arrival within the lateness do not change a result.
+The state of a key is its last miss and the requests the watermark has not passed yet.
+Keys share a state row by their hash, so a micro-batch costs a call per row and not one
+per key; an event-time timer wakes a row when it may judge the next of its requests, or
+when a last miss has expired, which is then evicted. So the state holds live keys and
+open requests only, a restarted stream goes on from its checkpoint, and the cut into
+micro-batches and the order of arrival within the lateness do not change a result.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +25,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from quaero.operators.cache import TTL_SECONDS, micros
 
 _NEVER = -(1 << 62)
-#: last miss in microseconds; open requests as (time, id) pairs of 64-bit numbers
-_STATE = "last long, open binary"
+#: an Arrow table of (key, time in microseconds, id, seen): last misses, which are seen, and open requests
+_STATE = "rows binary"
+_ROWS = ["name", "at", "id", "seen"]
+STATE_ROWS = 1024  # rows of the state store that the keys share
 
 
 def _judge(times: np.ndarray, last: int, ttl: int) -> tuple[np.ndarray, int]:
@@ -37,47 +41,81 @@ def _judge(times: np.ndarray, last: int, ttl: int) -> tuple[np.ndarray, int]:
     return hit, last
 
 
+def _judge_keys(rows: pd.DataFrame, passed: int, ttl: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """What a state row holds, judged up to the time ``passed``: the judged requests with ``hit``, and what stays."""
+    codes = pd.factorize(rows["name"])[0]
+    at, seen = rows["at"].to_numpy(), rows["seen"].to_numpy()
+    order = np.lexsort((rows["id"].to_numpy(), at, ~seen, codes))  # the last miss of a key before its requests
+    codes, at, seen = codes[order], at[order], seen[order]
+    due = ~seen & (at <= passed)
+    hit, stays = np.zeros(len(order), dtype=bool), ~due
+    heads = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(order) else []
+    lasts = []
+    for start, end in zip(heads, [*heads[1:], len(order)]):
+        first = start + int(seen[start])
+        until = first + int(np.count_nonzero(due[first:end]))  # in the order of time
+        hit[first:until], last = _judge(at[first:until], int(at[start]) if seen[start] else _NEVER, ttl)
+        stays[start:first] = False
+        if last != _NEVER and last + ttl > passed:
+            lasts.append((start, last))
+    sorted_rows = rows.iloc[order]
+    live = sorted_rows.iloc[[i for i, _ in lasts]].assign(at=np.array([t for _, t in lasts], dtype=np.int64), id=0, seen=True)
+    judged = sorted_rows[due][["name", "id"]].assign(hit=hit[due])
+    return judged, pd.concat([live, sorted_rows[stays]], ignore_index=True)
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_pandas(rows[_ROWS], preserve_index=False)
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(raw: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(raw).read_pandas()
+
+
 def replay_keyed(
     asks: DataFrame, key: str = "cache_key", asked_at: str = "asked_at", order_id: str = "ask_id",
-    ttl_seconds: int = TTL_SECONDS, lateness_seconds: int = 600,
+    ttl_seconds: int = TTL_SECONDS, lateness_seconds: int = 600, state_rows: int = STATE_ROWS,
 ) -> DataFrame:
     """(key, ``order_id``, hit) of a stream of requests, as ``cache.replay`` judges them.
 
     A request comes out once the watermark has passed it. Those behind the watermark on
     arrival are left out by Spark and counted in the query's progress
     (:func:`rows_behind`); a request without a time counts as such. Ids are numbers; a
-    null key is a key of its own. Requests of one key at one time go by id.
+    null key is a key of its own. Requests of one key at one time go by id. The keys are
+    dealt to ``state_rows`` rows of the state; a checkpoint belongs to that number.
     """
     ttl = ttl_seconds * 1_000_000
     at = micros(F.col(asked_at), isinstance(asks.schema[asked_at].dataType, T.TimestampNTZType))
+    name = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("n"))
     rows = asks.select(
-        F.col(key), F.col(order_id).cast("long").alias("id"), at.alias("at"), F.timestamp_micros(at).alias("when"),
+        name.alias("name"), F.col(order_id).cast("long").alias("id"), at.alias("at"), F.timestamp_micros(at).alias("when"),
     ).where("at IS NOT NULL").withWatermark("when", f"{lateness_seconds} seconds")
+    rows = rows.withColumn("slot", F.pmod(F.xxhash64("name"), F.lit(state_rows)))
 
-    def run(name: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, raw = state.get if state.exists else (_NEVER, b"")
-        held = [np.frombuffer(bytes(raw), dtype=np.int64).reshape(-1, 2)]
+    def run(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = [_unpacked(bytes(state.get[0]))] if state.exists else []
         if not state.hasTimedOut:
-            held += [part[["at", "id"]].to_numpy(dtype=np.int64) for part in parts]
-        waiting = np.concatenate(held)
-        waiting = waiting[np.lexsort((waiting[:, 1], waiting[:, 0]))]
+            held += [part[["name", "at", "id"]].assign(seen=False) for part in parts]
         passed = state.getCurrentWatermarkMs() * 1000
-        due = int(np.searchsorted(waiting[:, 0], passed, side="right"))
-        now, waiting = waiting[:due], waiting[due:]
-        hit, last = _judge(now[:, 0], last, ttl)
-        if len(waiting) or last + ttl > passed:
-            state.update((last, waiting.tobytes()))
-            wake = int(waiting[0, 0]) if len(waiting) else last + ttl
+        judged, stays = _judge_keys(pd.concat(held, ignore_index=True), passed, ttl)
+        if len(stays):
+            state.update((_packed(stays),))
+            wake = int((stays["at"] + np.where(stays["seen"], ttl, 0)).min())
             state.setTimeoutTimestamp(max(wake, passed) // 1000 + 1)
         elif state.exists:
             state.remove()
-        if due:
-            yield pd.DataFrame({key: [name[0]] * due, order_id: now[:, 1], "hit": hit})
+        if len(judged):
+            yield judged
 
-    kind = T.StructType([
-        T.StructField(key, asks.schema[key].dataType), T.StructField(order_id, T.LongType()), T.StructField("hit", T.BooleanType()),
-    ])
-    return rows.groupBy(key).applyInPandasWithState(run, kind, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    found = rows.groupBy("slot").applyInPandasWithState(
+        run, "name string, id long, hit boolean", _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    of_key = F.when(F.col("name") != "n", F.expr("substr(name, 2)")).cast(asks.schema[key].dataType)
+    return found.select(of_key.alias(key), F.col("id").alias(order_id), "hit")
 
 
 def drop_redelivered(rows: DataFrame, keys: list[str], at: str, lateness_seconds: int = 600) -> DataFrame:

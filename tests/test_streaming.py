@@ -170,6 +170,24 @@ def test_keyed_state_goes_on_after_a_restart(spark, tmp_path):
     assert got - {(-1, False)} == {(0, False), (1, True), (2, False)}
 
 
+def test_keys_share_rows_of_the_state(spark, tmp_path):
+    """More keys than state rows, a missing key among them; the calls a batch makes do not grow with its keys."""
+    rng = random.Random(9)
+    rows = [(rng.choice([None, "", "n", *(f"k{i}" for i in range(60))]), T0 + dt.timedelta(seconds=20 * i), i) for i in range(700)]
+    last, expected = {}, {}
+    for name, t, i in rows:
+        expected[i] = name in last and t - last[name] < dt.timedelta(hours=1)
+        last[name] = last[name] if expected[i] else t
+    tick = ("tick", keyed.closing_tick(rows[-1][1], 600), -1)
+    stream = feed_of(spark, rows + [tick] * 78, ASKS, str(tmp_path / "in"), 3)
+    asked = keyed.replay_keyed(stream, state_rows=5)
+    query = feed.write_rows(asked, str(tmp_path / "out"), str(tmp_path / "progress"))
+    query.awaitTermination()
+    got = {r.ask_id: (r.cache_key, r.hit) for r in spark.read.parquet(str(tmp_path / "out")).collect() if r.ask_id >= 0}
+    assert got == {i: (name, expected[i]) for name, _, i in rows}
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators) <= 5
+
+
 def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
     at = lambda s: T0 + dt.timedelta(seconds=s)
     rows = [("k", at(10_000), 0), ("k", at(20_000), 1), ("k", at(100), 2), ("j", at(20_001), 3), ("j", at(90_000), -1)]
