@@ -201,3 +201,40 @@ def test_stored_index(spark, tmp_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [cell" in plan
     assert one.count() == 4 and sorted(os.listdir(f"{path}/cells")) == files
+
+
+@pytest.mark.parametrize("route", ["cells", "grid"])
+def test_questions_are_not_written_once_per_cell(spark, monkeypatch, route):
+    """Blocks bound how often a vector travels, and vectors travel in packs."""
+    written = []
+    real = knn.materialize
+    monkeypatch.setattr(knn, "materialize", lambda df, label: written.append(label) or real(df, label))
+    vectors = crowded(9)
+    asked, stored = frame(spark, vectors, "question_id"), frame(spark, vectors, "corpus_id")
+    got = knn.topk(asked, stored, 4, "cosine", route=route, skip_same_id=True)
+    assert found(got) == brute(vectors, vectors, 4, "cosine", skip=True)
+    assert written == (["cells"] if route == "cells" else [])
+    assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_a_block_settles_ties_as_it_goes(monkeypatch, metric):
+    """Copies, empty vectors and missing numbers, with next to no room for candidates."""
+    monkeypatch.setattr(knn, "HELD_PAIRS", 50)
+    monkeypatch.setattr(knn, "SLICE_ROWS", 7)
+    monkeypatch.setattr(knn, "SLICE_CORPUS_ROWS", 11)
+    corpus, questions = crowded(10, 150), crowded(11, 40)
+    corpus[20:90] = corpus[3]
+    questions[::5] = corpus[3]
+    expected = brute(questions, corpus, 4, metric)
+    holes = np.concatenate([corpus, [[np.nan] + [1.0] * 5, [np.inf] * 6]])
+    hits = knn._block_topk(knn.METRICS[metric], 4, np.arange(152), holes, np.arange(40), questions, False)
+    hits = hits.sort_values(["question_id", "cost", "corpus_id"])
+    ranks = hits.groupby("question_id").cumcount() + 1
+    assert set(zip(hits["question_id"], hits["corpus_id"], ranks)) == expected
+
+
+def test_blocks_are_bounded_on_both_sides():
+    assert knn._cut(3_000_000, knn.BLOCK_ROWS, 256, 26, 12) == -(-3_000_000 // knn.BLOCK_ROWS)
+    rows = -(-1_000_000 // knn._cut(1_000_000, knn.BLOCK_ROWS, 8192, 1, 1))
+    assert rows * 8192 * 8 <= knn.BLOCK_BYTES
