@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quaero.functions.text import tokens
 
 DEFAULT_DIMS = 256
+SLICE_ROWS = 256  # texts whose buckets are counted at a time
 
 
 def _sum(values: Column) -> Column:
@@ -71,19 +72,21 @@ def hash_embed(text: Column, dims: int = DEFAULT_DIMS, normalize: bool = False)
     """Bag-of-words vector of ``text``: token counts per hash bucket.
 
     The counts are whole numbers, so their inner products are exact. Hashing
-    runs in the JVM; the Arrow function only counts, with no shuffle of tokens.
+    runs in the JVM; the Arrow function only counts, with no shuffle of tokens, and
+    holds the counts of a batch and the buckets of a slice of it.
     """
 
-    @F.pandas_udf("array<float>")
-    def count(buckets: pd.Series) -> pd.Series:
-        rows = []
-        for row in buckets:
-            vector = np.bincount(row, minlength=dims).astype(np.float32)
+    @F.arrow_udf("array<float>")
+    def count(buckets: pa.Array) -> pa.Array:
+        out = np.zeros((len(buckets), dims), dtype=np.float32)
+        for start in range(0, len(buckets), SLICE_ROWS):
+            part = buckets.slice(start, SLICE_ROWS)
+            places = np.repeat(np.arange(len(part)) * dims, np.asarray(part.value_lengths()))
+            counts = np.bincount(places + part.flatten().to_numpy(), minlength=len(part) * dims).reshape(-1, dims)
             if normalize:
-                length = np.sqrt(np.square(vector, dtype=np.float64).sum())
-                if length > 0:
-                    vector = (vector / length).astype(np.float32)
-            rows.append(vector)
-        return pd.Series(rows, index=buckets.index)
+                lengths = np.sqrt(np.square(counts.astype(np.float32), dtype=np.float64).sum(axis=1))
+                counts = counts / np.where(lengths > 0, lengths, 1.0)[:, None]
+            out[start : start + SLICE_ROWS] = counts
+        return pa.ListArray.from_arrays(np.arange(len(out) + 1, dtype=np.int32) * dims, out.reshape(-1))
 
     return count(token_buckets(text, dims))

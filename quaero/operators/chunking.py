@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 SEPARATORS = ("\n\n", "\n", ".", " ", "")
 CHUNK_SIZE = 1000
 CHUNK_OVERLAP = 200
+SLICE_ROWS = 64  # texts that are Python strings at a time
 
 
 def _pieces(text: str, separator: str) -> list[str]:
@@ -75,9 +76,13 @@ def chunks_of(
     if not 0 <= overlap <= size:
         raise ValueError("overlap must lie between 0 and the chunk size")
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, size, overlap, separators))
+    @F.arrow_udf("array<string>")
+    def cut(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.string())
+        return pa.concat_arrays([
+            pa.array([split_text(t, size, overlap, separators) for t in texts.slice(start, SLICE_ROWS).to_pylist()], kind)
+            for start in range(0, len(texts), SLICE_ROWS)
+        ] or [pa.array([], kind)])
 
     return cut(F.coalesce(text, F.lit("")))
 

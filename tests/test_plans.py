@@ -1,5 +1,7 @@
 """What the physical plans must and must not hold."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,3 +57,21 @@ def test_aggregates_combine_before_the_shuffle(spark, documents):
         F.col("source").alias("cache_key"), F.current_timestamp().alias("written_at"), "doc_id"
     )
     assert "partial_max_by" in plan(cache.upsert(entries, entries.limit(1)))
+
+
+def test_texts_are_cut_and_counted_in_slices(spark):
+    """The Python functions get Arrow columns, of which they hold a slice as objects, and not whole batches."""
+    from pyspark.util import PythonEvalType
+    from quaero.functions.vectors import hash_embed
+    from quaero.operators.chunking import split_text
+
+    texts = spark.range(0, 700, numPartitions=1).select("id", F.concat(F.lit("word "), F.repeat(F.lit("a b. "), F.col("id").cast("int"))).alias("t"))
+    chunked = chunk_documents(texts, "t", 100, 20)
+    embedded = texts.select("id", "t", hash_embed(F.col("t"), 8).alias("v"))
+    for df in (chunked, embedded):
+        assert re.search(rf"ArrowEvalPython.*, {PythonEvalType.SQL_SCALAR_ARROW_UDF}\b", plan(df))
+    got = {}
+    for r in chunked.orderBy("id", "chunk_no").collect():
+        got.setdefault(r.id, []).append(r.t)
+    for r in embedded.collect():
+        assert got[r.id] == split_text(r.t, 100, 20) and sum(r.v) == len(r.t.split())
