@@ -7,8 +7,9 @@ grams, and equal windows have the same. The windows of a text with the same leas
 hash, one after the other, are a segment. Segments whose hash occurs once cannot hold
 a repeat and stay where they are. Equal segments become one row with its number of
 copies; those that share a hash with different ones are cut out of their texts, go
-to the shard of the hash and are suffix-sorted there (``suffixes``): a window repeats
-when it has ``width`` bytes in common with a neighbour in the sorted order.
+to the shard of the hash and, but for those that cannot share a window with another
+(``may_repeat``), are suffix-sorted there (``suffixes``): a window repeats when it has
+``width`` bytes in common with a neighbour in the sorted order.
 
 A hash under which more than ``HOT`` different segments meet (the rim of a passage
 that very many texts share) would make one shard large; the windows of those segments
@@ -37,6 +38,8 @@ from quaero.llm.suffixes import Scratch, neighbours
 WIDTH = 200
 GRAM = 32
 HOT = 1024
+#: ranges of the offset of a gram in its window; segments of more than so many widths are not looked at
+PARTS, LONG = 4, 8
 SHARD_BYTES = 2 << 20
 BROADCAST_TEXTS, BROADCAST_VALUES = 1_000_000, 1_000_000
 
@@ -210,6 +213,37 @@ def sort_shard(path: str, names: list[bytes], ends: list[int], width: int, folde
     yield _span_batch(found, spans)
 
 
+def may_repeat(values: list[int], contents: list[pa.Buffer], width: int) -> np.ndarray:
+    """Which of the segments, with all others of their least gram hash, can have a window that stands twice.
+
+    The gram of that hash stands at one offset of both windows, and what is around it is
+    equal. With the offsets in ``PARTS`` ranges, the bytes that every window of a range has
+    around its gram are a key; segments none of whose keys stands twice have no repeat.
+    Where a segment of a hash is long, which its own repeats make it, all of that hash stay.
+    """
+    size = np.array([len(x) for x in contents], dtype=np.int64)
+    value, end = np.array(values, dtype=np.int64), np.cumsum(size)
+    long = np.isin(value, value[size > LONG * width])
+    data, gram = np.frombuffer(b"".join(contents), dtype=np.uint8), min(GRAM, width)
+    owner = np.repeat(np.arange(len(size)), size)
+    grams = rolling(data, gram).view(np.int64)
+    at = np.flatnonzero(grams == value[owner[: len(grams)]])
+    at = at[(at + gram <= end[owner[at]]) & ~long[owner[at]]]
+    part = -(-(width - gram + 1) // PARTS)
+    inside = width - part + 1
+    hashes = rolling(data, inside)
+    keys, owners = [], []
+    for t in range(PARTS):
+        begin = at - t * part
+        mine = owner[at]
+        good = (begin >= end[mine] - size[mine]) & (begin + inside <= end[mine])
+        keys.append(mix(hashes[begin[good]] + mix(value[mine[good]].view(np.uint64) + np.uint64(t)))), owners.append(mine[good])
+    _, key, counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    keep = long
+    keep[np.concatenate(owners)[counts[key] > 1]] = True
+    return keep
+
+
 def sorted_repeats(segments: DataFrame, width: int, shards: int) -> DataFrame:
     """(segment, spans): the repeated bytes of the segments(segment, value, content), all different."""
 
@@ -219,17 +253,23 @@ def sorted_repeats(segments: DataFrame, width: int, shards: int) -> DataFrame:
         ahead = next(rows, None)
         while ahead is not None:
             with tempfile.TemporaryDirectory(prefix="suffixes-") as folder:
-                names, ends, size, value = [], [], 0, None
+                names, ends, size = [], [], 0
                 with open(f"{folder}/text", "wb") as out:
-                    while ahead is not None and (size < SHARD_BYTES or ahead[0] == value):
-                        value, name, content = ahead
-                        data = np.frombuffer(content.as_buffer(), dtype=np.uint8).astype(np.uint16) + np.uint16(2)
-                        out.write(data.tobytes() + b"\1\0")
-                        size += len(data) + 1
-                        names.append(name), ends.append(size)
-                        ahead = next(rows, None)
+                    while ahead is not None and size < SHARD_BYTES:
+                        some, held = [], 0
+                        while ahead is not None and (held < SLICE_BYTES or ahead[0] == some[-1][0]):
+                            some.append((*ahead[:2], ahead[2].as_buffer()))
+                            held += len(some[-1][2])
+                            ahead = next(rows, None)
+                        values, segment, contents = zip(*some)
+                        for k in np.flatnonzero(may_repeat(values, contents, width)).tolist():
+                            data = np.frombuffer(contents[k], dtype=np.uint8).astype(np.uint16) + np.uint16(2)
+                            out.write(data.tobytes() + b"\1\0")
+                            size += len(data) + 1
+                            names.append(segment[k]), ends.append(size)
                     out.write(b"\0\0")
-                yield from sort_shard(f"{folder}/text", names, ends, width, folder)
+                if names:
+                    yield from sort_shard(f"{folder}/text", names, ends, width, folder)
 
     dealt = segments.select("value", "segment", "content").repartition(shards, "value").sortWithinPartitions("value")
     return dealt.mapInArrow(run, f"segment binary, spans {SPANS}")
