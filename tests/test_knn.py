@@ -238,3 +238,24 @@ def test_blocks_are_bounded_on_both_sides():
     assert knn._cut(3_000_000, knn.BLOCK_ROWS, 256, 26, 12) == -(-3_000_000 // knn.BLOCK_ROWS)
     rows = -(-1_000_000 // knn._cut(1_000_000, knn.BLOCK_ROWS, 8192, 1, 1))
     assert rows * 8192 * 8 <= knn.BLOCK_BYTES
+
+
+def test_a_large_component_widens_its_own_row_only():
+    """Packs of whole numbers take a byte a number, rows with larger ones go to packs of their own."""
+    rows = np.ones((50, 8), dtype=np.float32)
+    rows[3, 2], rows[4, 2], rows[5, 2], rows[6, 2], rows[7, 2] = 300, 0.5, -1, np.nan, 70_000
+    packs = {kind: (part.tolist(), np.frombuffer(raw, kind).reshape(-1, 8)) for part, kind, raw in knn._packs(rows, np.arange(50))}
+    assert packs["|u1"][0] == [0, 1, 2, *range(8, 50)] and packs["<u2"][0] == [3] and packs["<f4"][0] == [4, 5, 6, 7]
+    for part, values in packs.values():
+        assert np.array_equal(values, rows[part], equal_nan=True)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_questions_pass_a_block_in_slices(spark, monkeypatch, metric):
+    monkeypatch.setattr(knn, "PACK_BYTES", 200)
+    monkeypatch.setattr(knn, "PASSING_ROWS", 7)
+    vectors = crowded(21, 90)
+    vectors[3], vectors[4] = vectors[3] * 1000, np.round(np.abs(vectors[4]) * 1000)
+    asked, stored = frame(spark, vectors, "question_id"), frame(spark, vectors, "corpus_id")
+    got = knn.topk(asked, stored, 4, metric, route="grid", skip_same_id=True)
+    assert found(got) == brute(vectors, vectors, 4, metric, skip=True)
